@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_mixing, op5_exact, sql
+from . import op1_mixing, op4_secrets, op5_exact, op6_urls, op7_toxicity, sql
 from .common import read
 
 
@@ -18,9 +18,22 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_exact.exact_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_secrets.scan_secrets(read(spark, sf_dir, "documents"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_urls.filter_urls(read(spark, sf_dir, "pages"))
+
+
+def op7_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return op7_toxicity.score_toxicity(docs, op7_toxicity.fit_lexicon(docs, read(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix_sources, op5_exact_dedup)}
+    return {f.__name__: f for f in (op1_mix_sources, op4_secret_scan, op5_exact_dedup, op6_url_filter, op7_toxicity_scores)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": sql.OP1_MIX, "op5_exact_dedup": sql.OP5_EXACT_DEDUP}
+    return {"op1_mix_sources": sql.OP1_MIX, "op5_exact_dedup": sql.OP5_EXACT_DEDUP, "op6_url_filter": sql.op6_urls(op6_urls.RULES)}

@@ -28,3 +28,24 @@ reps AS (
 )
 """
 OP1_MIX = "WITH " + MIX.format(docs="documents", text="d.text,", texts="text,") + "SELECT doc_id, source, text, unnest(range(0, reps::BIGINT))::INT AS copy FROM reps"
+
+
+def op6_urls(rules: dict[str, str]) -> str:
+    quoted = ", ".join("('{}', '{}')".format(n.replace("'", "''"), g.replace("'", "''")) for n, g in rules.items())
+    scheme = r"^([A-Za-z][A-Za-z0-9+.\-]*)://([^/?#]*)([^?#]*)"
+    return rf"""
+WITH u AS (SELECT page_id, regexp_replace(trim(url), '#[\s\S]*$', '') AS u, row_number() OVER () AS row FROM pages),
+parts AS (
+  SELECT *, lower(regexp_extract(u, '{scheme}', 1)) AS scheme, lower(regexp_extract(u, '{scheme}', 2)) AS host, regexp_replace(regexp_extract(u, '{scheme}', 3), '/+$', '') AS path,
+    list_sort(list_filter(string_split(regexp_extract(u, '\?([\s\S]*)$', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))) AS params
+  FROM u
+),
+c AS (
+  SELECT row, page_id, CASE WHEN scheme = '' THEN u ELSE scheme || '://' || regexp_replace(regexp_replace(regexp_replace(host, '^.*@', ''), ':(80|443)$', ''), '^www\.', '') || path
+    || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END END AS canonical_url
+  FROM parts
+),
+rules(name, pat) AS (VALUES {quoted})
+SELECT any_value(page_id) AS page_id, any_value(canonical_url) AS canonical_url, coalesce(list_sort(list(name) FILTER (name IS NOT NULL)), []) AS rules, count(name) > 0 AS blocked
+FROM c LEFT JOIN rules ON canonical_url GLOB pat GROUP BY row
+"""
