@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_mixing, op4_secrets, op5_exact, op6_urls, op7_toxicity, sql
+from . import op1_mixing, op4_secrets, op5_exact, op6_urls, op7_toxicity, op8_bpe, op9_langid, sql
 from .common import read
 
 
@@ -31,8 +31,17 @@ def op7_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_toxicity.score_toxicity(docs, op7_toxicity.fit_lexicon(docs, read(spark, sf_dir, "labels")))
 
 
+def op8_bpe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_bpe.encode(read(spark, sf_dir, "documents"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return op9_langid.identify(docs, op9_langid.fit_dictionaries(docs))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix_sources, op4_secret_scan, op5_exact_dedup, op6_url_filter, op7_toxicity_scores)}
+    return {f.__name__: f for f in (op1_mix_sources, op4_secret_scan, op5_exact_dedup, op6_url_filter, op7_toxicity_scores, op8_bpe_tokens, op9_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
