@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_mixing, op4_secrets, op5_exact, op6_urls, op7_toxicity, op8_bpe, op9_langid, sql
+from . import op1_mixing, op10_topk, op4_secrets, op5_exact, op6_urls, op7_toxicity, op8_bpe, op9_langid, sql
 from .common import read
 
 
@@ -40,9 +40,13 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_langid.identify(docs, op9_langid.fit_dictionaries(docs))
 
 
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_topk.top_k(read(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix_sources, op4_secret_scan, op5_exact_dedup, op6_url_filter, op7_toxicity_scores, op8_bpe_tokens, op9_language_id)}
+    return {f.__name__: f for f in (op1_mix_sources, op4_secret_scan, op5_exact_dedup, op6_url_filter, op7_toxicity_scores, op8_bpe_tokens, op9_language_id, op10_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": sql.OP1_MIX, "op5_exact_dedup": sql.OP5_EXACT_DEDUP, "op6_url_filter": sql.op6_urls(op6_urls.RULES)}
+    return {"op1_mix_sources": sql.OP1_MIX, "op5_exact_dedup": sql.OP5_EXACT_DEDUP, "op6_url_filter": sql.op6_urls(op6_urls.RULES), "op10_top_k": sql.OP10_TOP_K}
