@@ -57,3 +57,17 @@ s AS (SELECT a.vec_id, b.vec_id AS neighbour_id, round(list_inner_product(a.v, b
 r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, neighbour_id)::INT AS rank FROM s)
 SELECT vec_id, rank, neighbour_id, score FROM r WHERE rank <= 10
 """
+
+
+OP3_SUBSTRING = f"""
+WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents WHERE doc_id IS NOT NULL),
+win AS (SELECT doc_id, pos, array_to_string(w[pos + 1 : pos + 50], ' ') AS t FROM d, unnest(range(0, greatest(len(w) - 49, 0))) u(pos)),
+c AS (SELECT doc_id, pos, count(*) OVER (PARTITION BY t) AS n, row_number() OVER (PARTITION BY t ORDER BY doc_id, pos) AS r FROM win),
+k AS (SELECT doc_id, 0 AS kind, pos FROM c WHERE n > 1 UNION ALL SELECT doc_id, 1 AS kind, pos FROM c WHERE r > 1),
+o AS (SELECT *, (pos > coalesce(lag(pos) OVER (PARTITION BY doc_id, kind ORDER BY pos) + 50, -1))::INT AS open FROM k),
+i AS (SELECT *, sum(open) OVER (PARTITION BY doc_id, kind ORDER BY pos) AS island FROM o),
+s AS (SELECT doc_id, kind, min(pos) AS a, max(pos) + 50 AS b FROM i GROUP BY doc_id, kind, island)
+SELECT doc_id, coalesce(string_agg(a || '-' || b, ' ' ORDER BY a) FILTER (kind = 0), '') AS spans, coalesce(sum(b - a) FILTER (kind = 0), 0)::BIGINT AS repeated_words,
+  coalesce(string_agg(a || '-' || b, ' ' ORDER BY a) FILTER (kind = 1), '') AS cut_spans, coalesce(sum(b - a) FILTER (kind = 1), 0)::BIGINT AS cut_words
+FROM s GROUP BY doc_id
+"""
