@@ -65,3 +65,22 @@ def maybe_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
 def key_text(doc_id: Column, text: Column) -> Column:
     """What identifies a document in a hash: its id, or its text's digest where the id is null."""
     return F.coalesce(doc_id.cast("string"), F.md5(F.coalesce(text, F.lit(""))))
+
+
+def remove_rows(docs: DataFrame, rows: DataFrame, losing: str) -> DataFrame:
+    """docs without the rows of the given (id, mark) that fulfil ``losing``, and with the others once.
+
+    mark is xxhash64 of the text; ``copies`` of rows counts how often docs has the id and text. Where none is
+    repeated this is a single anti join, which only sends keys and what has to move.
+    """
+    mark, act = fresh(docs, "mark"), fresh(docs, "action")
+    keyed = docs.withColumn(mark, F.xxhash64(F.col("text").cast("string")))
+    named = lambda t, what: t.select(F.col("id").alias(act + "_id"), F.col("mark").alias(act + "_mark"), F.lit(what).alias(act))
+    losers = named(rows.filter(losing), "drop")
+    repeated = named(rows.filter(f"NOT ({losing}) AND copies > 1"), "once")
+    on = (keyed["doc_id"].cast("long") == F.col(act + "_id")) & (keyed[mark] == F.col(act + "_mark")) & keyed["text"].isNotNull()
+    if repeated.isEmpty():
+        return keyed.join(losers, on, "left_anti").drop(mark)
+    marked = keyed.join(losers.unionByName(repeated), on, "left")
+    once = marked.filter(F.col(act) == "once").dropDuplicates(["doc_id", "text"])
+    return marked.filter(F.col(act).isNull()).unionByName(once).drop(mark, act, act + "_id", act + "_mark")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fresh, partitions
+from .common import cut, partitions, remove_rows
 
 FAN_IN = 8
 _SCHEMA = "slice int, holder int, run binary"
@@ -91,10 +91,10 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def digests(docs: DataFrame, bits: int = 64) -> DataFrame:
-    """(d, sha, n, id) of the documents that have a text and an id; fewer bits force collisions, for tests."""
+    """(d, sha, n, id, mark) of the documents that have a text and an id; fewer bits force collisions, for tests."""
     d = F.xxhash64(F.col("text").cast("string"))
     return docs.select(
-        (d if bits == 64 else F.pmod(d, F.lit(1 << bits))).alias("d"), F.unhex(F.sha2(F.col("text"), 256)).alias("sha"), F.octet_length("text").cast("long").alias("n"), F.col("doc_id").cast("long").alias("id"), F.col("text").isNotNull().alias("ok")
+        (d if bits == 64 else F.pmod(d, F.lit(1 << bits))).alias("d"), F.unhex(F.sha2(F.col("text"), 256)).alias("sha"), F.octet_length("text").cast("long").alias("n"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("mark"), F.col("text").isNotNull().alias("ok")
     ).filter("ok AND id IS NOT NULL").drop("ok")
 
 
@@ -134,14 +134,5 @@ def drop_exact_duplicates(docs: DataFrame, fan_in: int = FAN_IN, bits: int = 64)
     """
     every, last = kept(docs, fan_in, bits)
     last = cut(last, "merged")
-    d, act = fresh(docs, "digest"), fresh(docs, "action")
-    losers = every.join(last, ["d", "sha", "n"]).filter("id <> keep_id").select("id", "d").distinct()
-    keyed = docs.withColumn(d, F.xxhash64(F.col("text").cast("string")) if bits == 64 else F.pmod(F.xxhash64(F.col("text").cast("string")), F.lit(1 << bits)))
-    on = lambda t: (keyed["doc_id"] == t["id"]) & (keyed[d] == t["d"]) & keyed["text"].isNotNull()
-    repeated = last.filter("copies > 1").select(F.col("keep_id").alias("id"), "d")
-    if repeated.isEmpty():
-        return keyed.join(losers, on(losers), "left_anti").drop(d)
-    marks = losers.withColumn("act", F.lit("drop")).unionByName(repeated.distinct().withColumn("act", F.lit("one"))).withColumnRenamed("act", act)
-    marked = keyed.join(marks, on(marks), "left").select(*[keyed[c] for c in keyed.columns], marks[act])
-    once = marked.filter(F.col(act) == "one").dropDuplicates(["doc_id", "text"])
-    return marked.filter(F.col(act).isNull()).unionByName(once).drop(d, act)
+    found = every.join(last, ["d", "sha", "n"]).select("id", F.col("mark"), F.col("keep_id"), F.when(F.col("id") == F.col("keep_id"), F.col("copies")).otherwise(1).alias("copies"))
+    return remove_rows(docs, found.distinct(), "id <> keep_id")

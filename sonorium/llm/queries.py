@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_mixing, op10_topk, op3_substring, op4_secrets, op5_exact, op6_urls, op7_toxicity, op8_bpe, op9_langid, sql
+from . import op1_mixing, op10_topk, op2_ngram_join, op3_substring, op4_secrets, op5_exact, op6_urls, op7_toxicity, op8_bpe, op9_langid, sql
 from .common import read
 
 
@@ -19,6 +19,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_exact.exact_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_ngram_join.jaccard_pairs(read(spark, sf_dir, "documents"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = op3_substring.repeated_passages(read(spark, sf_dir, "documents"))
     shown = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), " ").alias(c)
@@ -52,8 +56,8 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mix_sources, op3_substring_dedup, op4_secret_scan, op5_exact_dedup, op6_url_filter, op7_toxicity_scores, op8_bpe_tokens, op9_language_id, op10_top_k)}
+    return {f.__name__: f for f in (op1_mix_sources, op2_ngram_jaccard, op3_substring_dedup, op4_secret_scan, op5_exact_dedup, op6_url_filter, op7_toxicity_scores, op8_bpe_tokens, op9_language_id, op10_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": sql.OP1_MIX, "op3_substring_dedup": sql.OP3_SUBSTRING, "op5_exact_dedup": sql.OP5_EXACT_DEDUP, "op6_url_filter": sql.op6_urls(op6_urls.RULES), "op10_top_k": sql.OP10_TOP_K}
+    return {"op1_mix_sources": sql.OP1_MIX, "op2_ngram_jaccard": sql.OP2_NGRAM_JOIN, "op3_substring_dedup": sql.OP3_SUBSTRING, "op5_exact_dedup": sql.OP5_EXACT_DEDUP, "op6_url_filter": sql.op6_urls(op6_urls.RULES), "op10_top_k": sql.OP10_TOP_K}

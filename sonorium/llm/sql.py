@@ -71,3 +71,15 @@ SELECT doc_id, coalesce(string_agg(a || '-' || b, ' ' ORDER BY a) FILTER (kind =
   coalesce(string_agg(a || '-' || b, ' ' ORDER BY a) FILTER (kind = 1), '') AS cut_spans, coalesce(sum(b - a) FILTER (kind = 1), 0)::BIGINT AS cut_words
 FROM s GROUP BY doc_id
 """
+
+
+OP2_NGRAM_JOIN = f"""
+WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+s AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) < 2 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END)) AS grams FROM d WHERE len(w) > 0),
+l AS (SELECT doc_id, grams, min(doc_id) OVER (PARTITION BY grams) AS lead FROM s),
+r AS (SELECT DISTINCT lead AS id, grams, len(grams) AS n FROM l),
+g AS (SELECT id, n, unnest(grams) AS gram FROM r),
+p AS (SELECT a.id AS id_a, b.id AS id_b, count(*)::DOUBLE / (any_value(a.n) + any_value(b.n) - count(*)) AS jaccard FROM g a JOIN g b ON a.gram = b.gram AND a.id < b.id GROUP BY a.id, b.id)
+SELECT id_a, id_b, jaccard FROM p WHERE jaccard >= 0.55 - 1e-9
+UNION ALL SELECT DISTINCT lead, doc_id, 1.0 FROM l WHERE doc_id > lead
+"""
