@@ -1 +1 @@
-"""A Spark-native engine for speech-corpus catalogs."""
+"""A Spark-native engine for building and auditing speech corpora."""
