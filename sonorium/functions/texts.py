@@ -31,7 +31,7 @@ def collapse_whitespace(c: Column) -> Column:
 
 def escape_newlines(c: Column) -> Column:
     """Line breaks of any kind as a backslash and an n, so that a CSV row stays one line."""
-    return F.regexp_replace(c, "\r\n|\n|\r", r"\\\\n")
+    return F.regexp_replace(c, "\r\n|\n|\r", r"\\n")
 
 
 def escape_braces(c: Column) -> Column:
