@@ -8,9 +8,10 @@
 3. In a bucket, the nodes of a gram are paired, smallest first, if their sizes (length filter) and places
    (positional filter) allow an overlap that reaches t. A pair's matches are then added up over the buckets, and
    the positional filter is applied again behind its last match; what remains is one row a pair.
-4. Sets of the surviving pairs' nodes travel once to the pair's place (the smallest node met by its first
-   one), where a pair's histograms of hash ranges bound its overlap (suffix filter) and its sets are
-   intersected, once.
+4. The pairs of a neighbourhood (those whose first node has the same smallest partner) meet in one cell, or in a grid
+   of cells if the neighbourhood is large, and each node travels to a cell once. First its histogram of hash
+   ranges goes there, about a third of a byte a gram: the sum of the smaller counts bounds a pair's overlap (suffix
+   filter). The sets of the pairs that remain go there next and are intersected, once a pair.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,8 @@ _LOW = U64((1 << 56) - 1)
 _ID = (1 << 48) - 1
 _FAR = 65_535  # a place that doesn't fit; filters let it pass
 _FLUSH = 1_500_000
+#: Nodes of either side that a cell of a large neighbourhood holds.
+CELL = 4096
 _EPS = 1e-9
 
 
@@ -48,6 +52,20 @@ def needed(na, nb, t: float):  # noqa: ANN001, ANN201
     return np.ceil(t / (1 + t) * (na + nb) - _EPS)
 
 
+def histogram(grams: np.ndarray) -> bytes:
+    """Counts of a set's grams in at least as many equal ranges of the hash, a power of two of them, compressed."""
+    k = max(len(grams) - 1, 1).bit_length()
+    counts = np.bincount((grams >> U64(56 - k)).astype(np.int64), minlength=1 << k)
+    return zstandard.compress(counts.astype(np.uint8).tobytes(), 1) if counts.max() < 256 else b""
+
+
+def most_common(p: np.ndarray, q: np.ndarray) -> int:
+    """The largest overlap that sets with these histograms can have."""
+    if len(p) < len(q):
+        p, q = q, p
+    return int(np.minimum(p.reshape(len(q), -1).sum(1), q).sum())
+
+
 _FIRST = "kind int, node long, id long, mark long, n int, slice int, counts binary"
 
 
@@ -59,7 +77,7 @@ def _first_pass(n: int):  # noqa: ANN202
                 sets = gram_sets(b.column("text"), n)
                 every = np.concatenate(sets)
                 counts += np.bincount((every & U64(CELLS - 1)).astype(np.int64), minlength=CELLS).astype(np.uint32)
-                nothing = pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())
+                nothing = pa.nulls(len(sets), pa.int32()), pa.array([histogram(s) if len(s) else None for s in sets], pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(sets), np.int32)), pa.array([digest(s) for s in sets], pa.int64()), b.column("id"), b.column("mark"), pa.array([len(s) for s in sets], pa.int32()), *nothing], ["kind", "node", "id", "mark", "n", "slice", "counts"])
         if counts.any():
             parts = counts.reshape(SLICES, -1)
@@ -209,32 +227,76 @@ def _pairs(t: float):  # noqa: ANN202
     return run
 
 
-def _verify(t: float):  # noqa: ANN202
+def _in_cells(load, agree):  # noqa: ANN001, ANN202
+    """Runs agree(x, y, what was loaded of x, of y) on the pairs of each cell; rows come with a cell's nodes first."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, sets = None, {}
+        here, held = None, {}
         for b in batches:
             out = []
-            for place, kind, x, y, blob in zip(*(b.column(i).to_pylist() for i in range(5))):
-                if place != here:
-                    here, sets = place, {}
+            for cell, kind, x, y, blob in zip(*(b.column(i).to_pylist() for i in range(5))):
+                if cell != here:
+                    here, held = cell, {}
                 if kind == 0:
-                    grams = np.frombuffer(blob, U64)
-                    sets[x] = grams, np.bincount((grams >> U64(51)).astype(np.int64), minlength=32)
-                elif x in sets and y in sets:
-                    (p, hp), (q, hq) = sets[x], sets[y]
-                    least = needed(len(p), len(q), t)
-                    if (len(p) + len(q) - np.abs(hp - hq).sum()) / 2 < least:  # suffix filter: grams of unequal ranges can't match
-                        continue
-                    at = np.minimum(np.searchsorted(q, p), len(q) - 1)
-                    common = int((q[at] == p).sum())
-                    if common >= least:
-                        out.append((x, y, common / (len(p) + len(q) - common)))
+                    held[x] = load(blob)
+                elif x in held and y in held:
+                    found = agree(held[x], held[y])
+                    if found is not None:
+                        out.append((x, y, found))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], ["a", "b", "jaccard"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out), (pa.int64(), pa.int64(), pa.float64()))], ["a", "b", "jaccard"])
 
     return run
 
 
+def _bound(t: float):  # noqa: ANN202
+    """The suffix filter: Jaccard similarity at most, of the pairs whose histograms allow t."""
+
+    def load(blob: bytes) -> tuple[np.ndarray, int] | None:
+        if not blob:
+            return None
+        counts = np.frombuffer(zstandard.decompress(blob), np.uint8)
+        return counts, int(counts.sum())
+
+    def agree(x: tuple[np.ndarray, int] | None, y: tuple[np.ndarray, int] | None) -> float | None:
+        if x is None or y is None:
+            return 1.0
+        both, n = most_common(x[0], y[0]), x[1] + y[1]
+        return both / (n - both) if both >= needed(x[1], y[1], t) else None
+
+    return _in_cells(load, agree)
+
+
+def _verify(t: float):  # noqa: ANN202
+    def agree(p: np.ndarray, q: np.ndarray) -> float | None:
+        common = int((q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p).sum())
+        return common / (len(p) + len(q) - common) if common >= needed(len(p), len(q), t) else None
+
+    return _in_cells(lambda blob: np.frombuffer(blob, U64), agree)
+
+
+def _in_place(pairs: DataFrame, name: str) -> DataFrame:
+    """(cell, a, b) of the pairs: a neighbourhood's pairs share a cell, or the cells of a grid of nodes a and b."""
+    ends = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    places = ends.groupBy("a").agg(F.min("b").alias("least")).select("a", F.least("a", "least").alias("place"))
+    placed = cut(pairs.join(places, "a").select("place", "a", "b"), f"{name}-places")
+    sides = [placed.groupBy("place", x).agg(F.lit(1)).groupBy("place").agg(F.ceil(F.count("*") / F.lit(CELL)).alias("n" + x)) for x in "ab"]
+    grid = sides[0].join(sides[1], "place").filter("na > 1 OR nb > 1")
+    cell = F.when(F.col("na").isNull(), F.col("place")).otherwise(F.xxhash64("place", F.pmod(F.xxhash64("a"), "na"), F.pmod(F.xxhash64("b"), "nb")))
+    return cut(placed.join(maybe_broadcast(cut(grid, f"{name}-grid")), "place", "left").select(cell.alias("cell"), "a", "b"), f"{name}-cells")
+
+
+def _members(placed: DataFrame) -> DataFrame:
+    return placed.select("cell", F.col("a").alias("node")).unionByName(placed.select("cell", F.col("b").alias("node"))).distinct()
+
+
+def _meet(sent: DataFrame, placed: DataFrame, buckets: int, run) -> DataFrame:  # noqa: ANN001
+    """run over the cells of both: sent has (cell, node, blob), placed (cell, a, b)."""
+    none = F.lit(None)
+    both = sent.select("cell", F.lit(0).alias("kind"), F.col("node").alias("a"), none.cast("long").alias("b"), "blob").unionByName(placed.select("cell", F.lit(1).alias("kind"), "a", "b", none.cast("binary").alias("blob")))
+    return both.repartition(buckets, "cell").sortWithinPartitions("cell", "kind").mapInArrow(run, "a long, b long, jaccard double")
+
+
 def _ready(docs: DataFrame) -> DataFrame:
     return docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).withColumn("mark", F.xxhash64("text"))
 
@@ -259,24 +321,19 @@ def similar(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> tuple[DataFram
     bound = F.col("c") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
     far = (F.col("pa") >= _FAR) | (F.col("pb") >= _FAR)
     candidates = cut(summed.filter(far | (bound >= F.ceil(F.lit(t / (1 + t)) * (F.col("na") + F.col("nb")) - F.lit(_EPS)))).select("a", "b"), "candidates")
-    ends = candidates.unionByName(candidates.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    places = ends.groupBy("a").agg(F.min("b").alias("least")).select("a", F.least("a", "least").alias("place"))
-    placed = cut(candidates.join(places, "a").select("place", "a", "b"), "placed")
-    members = placed.select("place", F.col("a").alias("node")).unionByName(placed.select("place", F.col("b").alias("node"))).distinct()
-    lead = nodes.groupBy("node").agg(F.min(F.struct("id", "mark")).alias("lead")).select("node", "lead.id", "lead.mark")
-    wanted = cut(members.join(lead, "node"), "wanted")
+    lead = first.filter("kind = 0 AND n > 0").groupBy("node").agg(F.min(F.struct("id", "mark")).alias("lead"), F.first("counts").alias("blob"))
+    placed = _in_place(candidates, "candidates")
+    survivors = cut(_meet(_members(placed).join(lead.select("node", "blob"), "node"), placed, buckets, _bound(t)).select("a", "b"), "survivors")
+    placed = _in_place(survivors, "survivors")
+    wanted = cut(_members(placed).join(lead.select("node", "lead.id", "lead.mark"), "node"), "wanted")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in chunks(batch, "text"):
-                found = gram_sets(b.column("text"), n)
-                k = len(found)
-                yield pa.RecordBatch.from_arrays([b.column("place"), pa.array(np.zeros(k, np.int32)), b.column("node"), pa.nulls(k, pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], ["place", "kind", "a", "b", "grams"])
-
-    schema = "place long, kind int, a long, b long, grams binary"
-    sent = todo.join(maybe_broadcast(wanted), ["id", "mark"]).select("place", "node", "text").mapInArrow(sets, schema)
-    both = sent.unionByName(placed.select("place", F.lit(1).alias("kind"), "a", "b", F.lit(None).cast("binary").alias("grams")))
-    return nodes, both.repartition(buckets, "place").sortWithinPartitions("place", "kind").mapInArrow(_verify(t), "a long, b long, jaccard double")
+                yield pa.RecordBatch.from_arrays([b.column("cell"), b.column("node"), pa.array([s.tobytes() for s in gram_sets(b.column("text"), n)], pa.binary())], ["cell", "node", "blob"])
+
+    sent = todo.join(maybe_broadcast(wanted), ["id", "mark"]).select("cell", "node", "text").mapInArrow(sets, "cell long, node long, blob binary")
+    return nodes, _meet(sent, placed, buckets, _verify(t))
 
 
 def _leads(nodes: DataFrame) -> DataFrame:
