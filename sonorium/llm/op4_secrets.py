@@ -44,6 +44,8 @@ _LOOKS = str.maketrans("4@8310!57$", "aabeloists")
 _DATE = (re.compile(r"(\d{4})([-/._]?)(\d{1,2})\2(\d{1,2})"), re.compile(r"(\d{1,2})([-/._]?)(\d{1,2})\2(\d{4}|\d{2})"))
 _ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 _LONGEST_UNIT = 16
+#: Keys of the longest keyboard walk that is one segment; a longer one is several.
+_LONGEST_WALK = 40
 
 
 def _neighbours() -> dict[str, set[str]]:
@@ -85,6 +87,11 @@ def date_cost(s: str) -> float | None:
     return best
 
 
+@lru_cache(None)
+def _walk_guesses(n: int, turns: int) -> float:
+    return log10(sum(comb(i - 1, j - 1) * len(NEAR) * 5.0**j for i in range(2, n + 1) for j in range(1, min(turns, i - 1) + 1)))
+
+
 def walk_cost(s: str) -> float | None:
     """Decades of guesses for a whole string as a walk over neighbouring keys, three keys at least."""
     low = s.lower()
@@ -92,8 +99,7 @@ def walk_cost(s: str) -> float | None:
         return None
     steps = [ord(b) - ord(a) for a, b in zip(low, low[1:])]
     turns = 1 + sum(x != y for x, y in zip(steps, steps[1:]))
-    guesses = sum(comb(i - 1, j - 1) * len(NEAR) * 5.0**j for i in range(2, min(len(s), 40) + 1) for j in range(1, min(turns, i - 1) + 1))
-    return log10(guesses) + (0.5 if low != s else 0.0)
+    return _walk_guesses(min(len(s), _LONGEST_WALK), turns) + (0.5 if low != s else 0.0)
 
 
 def repeats(s: str) -> list[tuple[int, int, int]]:
@@ -130,7 +136,7 @@ def guess_cost(s: str) -> tuple[float, str]:
                 if (c := date_cost(s[i:j])) is not None:
                     spans.setdefault(j, []).append((i, c, "date"))
         j = i + 1
-        while j < n and s[j].lower() in NEAR.get(s[j - 1].lower(), ()):
+        while j < min(n, i + _LONGEST_WALK) and s[j].lower() in NEAR.get(s[j - 1].lower(), ()):
             j += 1
         for e in range(i + 3, j + 1):
             spans.setdefault(e, []).append((i, walk_cost(s[i:e]), "walk"))
