@@ -15,7 +15,7 @@ from ..operators.subtitle import parse
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """(file, vtt): stem and whole text of each file."""
-    found = spark.read.option("wholetext", True).option("pathGlobFilter", "*.vtt").text(path)
+    found = spark.read.option("pathGlobFilter", "*.vtt").text(path, wholetext=True)
     return found.select(stem(F.input_file_name()).alias("file"), F.col("value").alias("vtt"))
 
 
