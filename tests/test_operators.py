@@ -161,14 +161,14 @@ def extraction(entries, **k):  # noqa: ANN001, ANN003, ANN201
 
 
 def test_playlists(spark):
-    nested = [entry(webpage_url="https://example.com/1", title=" First ", description="Desc 1", duration="61"), entry(_type="url", url="https://example.com/2", id="2"), None, entry(title="nothing")]
-    df = spark.createDataFrame([extraction(nested, id="p"), extraction([], id="empty"), extraction(None, id="own", url="https://example.com/o", title="Own", duration_string="1:01")], EXTRACTION)
+    nested = [entry(webpage_url="https://clips.test/a", title=" Alpha ", description="about a", duration="61"), entry(_type="url", url="https://clips.test/b", id="2"), None, entry(title="nothing")]
+    df = spark.createDataFrame([extraction(nested, id="p"), extraction([], id="empty"), extraction(None, id="own", url="https://clips.test/o", title="Own", duration_string="1:01")], EXTRACTION)
     flat = playlist.entries(df.withColumnRenamed("id", "pid").withColumn("id", F.col("pid")), ["pid"])
-    full = spark.createDataFrame([("https://example.com/2", entry(webpage_url="https://example.com/2", title="Second", description="Desc 2", duration_ms="42900"))], f"url string, full {ENTRY.simpleString()}")
+    full = spark.createDataFrame([("https://clips.test/b", entry(webpage_url="https://clips.test/b", title="Beta", description="about b", duration_ms="42900"))], f"url string, full {ENTRY.simpleString()}")
     got = playlist.rows(playlist.resolve_stubs(flat, full), ["pid"])
-    assert rows(got) == [("own", 0, "https://example.com/o", "Own", "", 61), ("p", 0, "https://example.com/1", "First", "Desc 1", 61), ("p", 1, "https://example.com/2", "Second", "Desc 2", 42)]
+    assert rows(got) == [("own", 0, "https://clips.test/o", "Own", "", 61), ("p", 0, "https://clips.test/a", "Alpha", "about a", 61), ("p", 1, "https://clips.test/b", "Beta", "about b", 42)]
     kept = playlist.rows(playlist.resolve_stubs(flat, full.limit(0)), ["pid"])
-    assert ("p", 1, "https://example.com/2", "", "", None) in rows(kept)
+    assert ("p", 1, "https://clips.test/b", "", "", None) in rows(kept)
 
 
 def test_vtt(spark):
