@@ -347,7 +347,7 @@ def _score(docs: DataFrame, lexicon: Lexicon, out: list[str]) -> DataFrame:
 
 
 def score_toxicity(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """(doc_id, n_words_hit, n_quoted, score, toxic) of every row of docs.
+    """(doc_id, n_hits, n_quoted, score, toxic) of every row of docs.
 
     Null and empty texts score 0 and are not toxic. Rows are judged one by one, so repeated rows agree;
     an empty table gives no rows, a null doc_id stays null, other columns are ignored.
