@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, maybe_broadcast, partitions, remove_rows
+from .common import cut, maybe_broadcast, partitions, released, remove_rows
 from .textops import U64, chunks, gram_sets, mix
 
 N, THRESHOLD = 2, 0.55
@@ -294,7 +294,7 @@ def _meet(sent: DataFrame, placed: DataFrame, buckets: int, run) -> DataFrame:
     """run over the cells of both: sent has (cell, node, blob), placed (cell, a, b)."""
     none = F.lit(None)
     both = sent.select("cell", F.lit(0).alias("kind"), F.col("node").alias("a"), none.cast("long").alias("b"), "blob").unionByName(placed.select("cell", F.lit(1).alias("kind"), "a", "b", none.cast("binary").alias("blob")))
-    return both.repartition(buckets, "cell").sortWithinPartitions("cell", "kind").mapInArrow(run, "a long, b long, jaccard double")
+    return both.repartition(buckets, "cell").sortWithinPartitions("cell", "kind").mapInArrow(released(run), "a long, b long, jaccard double")
 
 
 def _ready(docs: DataFrame) -> DataFrame:
@@ -305,10 +305,10 @@ def similar(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> tuple[DataFram
     """(nodes, pairs): (node, id, mark, n) of every document with grams, and (a, b, jaccard) of the nodes that agree."""
     spark = docs.sparkSession
     todo, buckets = _ready(docs), partitions(spark)
-    first = cut(todo.select("id", "mark", "text").mapInArrow(_first_pass(n), _FIRST), "grams")
+    first = cut(todo.select("id", "mark", "text").mapInArrow(released(_first_pass(n)), _FIRST), "grams")
     nodes = first.filter("kind = 0 AND n > 0").select("node", "id", "mark", "n")
     common = np.zeros(CELLS, np.uint8)
-    for r in first.filter("kind = 1").select("slice", "n", "counts").repartition(SLICES, "slice").mapInArrow(_merge_counts, "slice int, common binary").collect():
+    for r in first.filter("kind = 1").select("slice", "n", "counts").repartition(SLICES, "slice").mapInArrow(released(_merge_counts), "slice int, common binary").collect():
         part = np.frombuffer(r["common"], np.uint8)
         common[r["slice"] * len(part) : (r["slice"] + 1) * len(part)] = part
     order = spark.sparkContext.broadcast(common)
@@ -316,7 +316,7 @@ def similar(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> tuple[DataFram
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _second_pass(order.value, n, t, buckets)(batches)
 
-    met = todo.select("text").mapInArrow(second, "bucket int, blob binary").repartition(buckets, "bucket").mapInArrow(_pairs(t), _PAIR)
+    met = todo.select("text").mapInArrow(released(second), "bucket int, blob binary").repartition(buckets, "bucket").mapInArrow(released(_pairs(t)), _PAIR)
     summed = met.groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
     bound = F.col("c") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
     far = (F.col("pa") >= _FAR) | (F.col("pb") >= _FAR)
@@ -332,7 +332,7 @@ def similar(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> tuple[DataFram
             for b in chunks(batch, "text"):
                 yield pa.RecordBatch.from_arrays([b.column("cell"), b.column("node"), pa.array([s.tobytes() for s in gram_sets(b.column("text"), n)], pa.binary())], ["cell", "node", "blob"])
 
-    sent = todo.join(maybe_broadcast(wanted), ["id", "mark"]).select("cell", "node", "text").mapInArrow(sets, "cell long, node long, blob binary")
+    sent = todo.join(maybe_broadcast(wanted), ["id", "mark"]).select("cell", "node", "text").mapInArrow(released(sets), "cell long, node long, blob binary")
     return nodes, _meet(sent, placed, buckets, _verify(t))
 
 

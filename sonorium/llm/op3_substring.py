@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, partitions
+from .common import cut, partitions, released
 from .textops import U64, buffer, chunks, mix, window_hashes, word_hashes, words
 
 WINDOW, GRAM = 50, 16
@@ -108,7 +108,7 @@ def repeated_cells(parts: DataFrame, bits: int) -> list[np.ndarray]:
 
     out = [np.zeros(1 << (bits - 3), np.uint8) for _ in _SALT]
     width = 1 << (bits - SLICE_BITS - 3)
-    for r in parts.repartition(2 << SLICE_BITS, "row", "slice").mapInArrow(merge, "row int, slice int, bits binary").collect():
+    for r in parts.repartition(2 << SLICE_BITS, "row", "slice").mapInArrow(released(merge), "row int, slice int, bits binary").collect():
         out[r["row"]][r["slice"] * width : (r["slice"] + 1) * width] = np.frombuffer(r["bits"], np.uint8)
     return out
 
@@ -225,7 +225,7 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -
     """
     spark = docs.sparkSession
     todo = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    parts = cut(todo.select("text").mapInArrow(_sketches(window, gram), _PART), "sketches")
+    parts = cut(todo.select("text").mapInArrow(released(_sketches(window, gram)), _PART), "sketches")
     keys = parts.agg(F.sum("keys")).first()[0] or 0
     bits = min(MAX_BITS, max(SLICE_BITS + 6, int(np.ceil(np.log2(CELLS * max(keys, 1))))))
     maps = spark.sparkContext.broadcast(repeated_cells(parts, bits))
@@ -234,8 +234,8 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _emit_windows(maps.value, bits, buckets, window, gram)(batches)
 
-    sent = todo.mapInArrow(emit, "bucket int, recs binary, hashes binary").repartition(buckets, "bucket")
-    pieces = sent.mapInArrow(_group(window), "doc_id long, kind int, start int, end int")
+    sent = todo.mapInArrow(released(emit), "bucket int, recs binary, hashes binary").repartition(buckets, "bucket")
+    pieces = sent.mapInArrow(released(_group(window)), "doc_id long, kind int, start int, end int")
     before = Window.partitionBy("doc_id", "kind").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     gap = pieces.withColumn("open", (F.col("start") > F.coalesce(F.max("end").over(before), F.lit(-1))).cast("int"))
     upto = Window.partitionBy("doc_id", "kind").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0)

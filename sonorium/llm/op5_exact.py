@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, partitions, remove_rows
+from .common import cut, partitions, released, remove_rows
 
 FAN_IN = 8
 _SCHEMA = "slice int, holder int, run binary"
@@ -104,12 +104,12 @@ def kept(docs: DataFrame, fan_in: int = FAN_IN, bits: int = 64) -> tuple[DataFra
     slices = max(1, partitions(spark))
     every = cut(digests(docs, bits), "digests")
     leaves = max(1, every.rdd.getNumPartitions())
-    runs = every.mapInArrow(_leaf(slices), _SCHEMA)
+    runs = every.mapInArrow(released(_leaf(slices)), _SCHEMA)
     while leaves > 1:
         to = (F.floor(F.col("holder") / fan_in)).cast("int")
-        runs = runs.select("slice", to.alias("to"), "run").repartition(slices, "slice", "to").mapInArrow(_merge, _SCHEMA)
+        runs = runs.select("slice", to.alias("to"), "run").repartition(slices, "slice", "to").mapInArrow(released(_merge), _SCHEMA)
         leaves = -(-leaves // fan_in)
-    return every, runs.mapInArrow(_entries, "d long, sha binary, n long, keep_id long, copies int")
+    return every, runs.mapInArrow(released(_entries), "d long, sha binary, n long, keep_id long, copies int")
 
 
 def exact_duplicates(docs: DataFrame, fan_in: int = FAN_IN, bits: int = 64) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructType
 
-from .common import cut, fresh
+from .common import cut, fresh, released
 from .textops import buffer, chunks, word_hashes, words
 
 #: Labelled rows the lexicon is fitted on, those with the smallest hashes of doc_id.
@@ -256,10 +256,11 @@ def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 seen = set(tokens)
                 seen |= {p for w in seen for p in _prefixes(w)}
                 (toxic if bad else clean).update(seen)
-    terms = list(toxic)
-    yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array([toxic[t] for t in terms], pa.int64()), pa.array([0] * len(terms), pa.int64())], ["term", "bad", "good"])
-    terms = list(clean)
-    yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array([0] * len(terms), pa.int64()), pa.array([clean[t] for t in terms], pa.int64())], ["term", "bad", "good"])
+    for bad, counts in ((True, toxic), (False, clean)):
+        while counts:
+            some = [counts.popitem() for _ in range(min(20_000, len(counts)))]
+            n, none = pa.array([k for _, k in some], pa.int64()), pa.array([0] * len(some), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in some], pa.string()), n if bad else none, none if bad else n], ["term", "bad", "good"])
 
 
 def _stems(n: dict[str, int]) -> list[str]:
@@ -295,7 +296,7 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE)
     n_bad, n_good = size.get(True, 0), size.get(False, 0)
     if not n_bad or not n_good:
         return base
-    counts = found.mapInArrow(_document_counts, "term string, bad long, good long").groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    counts = found.mapInArrow(released(_document_counts), "term string, bad long, good long").groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     pure = counts.filter((F.col("bad") >= MIN_DOCS) & (F.col("good") / n_good <= IMPURE * F.col("bad") / n_bad)).collect()
     if not pure:
         return base
@@ -313,7 +314,7 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE)
                             around += [" ".join(tokens[max(0, i - 2) : i] + ["_"] + tokens[i + 1 : i + 3])] * len(mine)
         yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(around, pa.string())], ["term", "around"])
 
-    seen = found.filter("toxic").mapInArrow(contexts, "term string, around string")
+    seen = found.filter("toxic").mapInArrow(released(contexts), "term string, around string")
     rows = seen.groupBy("term").agg(F.count("*").alias("n"), F.countDistinct("around").alias("fresh")).collect()
     good = {r["term"]: r["fresh"] for r in rows if r["fresh"] >= MIN_DOCS and r["fresh"] >= MIN_FRESH * r["n"]}
     stems = _stems({r["term"]: r["n"] for r in rows if r["term"] in good})
@@ -327,7 +328,7 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame | None, sample: int = SAMPLE)
                     out |= {w for w in set(tokens) if (f := machine.look(w)) and f[1]}
         yield pa.RecordBatch.from_arrays([pa.array(sorted(out), pa.string())], ["term"])
 
-    learnt.clean += sorted(r["term"] for r in found.filter("NOT toxic").mapInArrow(harmless, "term string").distinct().collect())
+    learnt.clean += sorted(r["term"] for r in found.filter("NOT toxic").mapInArrow(released(harmless), "term string").distinct().collect())
     return learnt
 
 
@@ -343,7 +344,7 @@ def _score(docs: DataFrame, lexicon: Lexicon, out: list[str]) -> DataFrame:
     schema = StructType(list(docs.schema.fields))
     for name, kind in zip(out, (IntegerType(), IntegerType(), DoubleType(), BooleanType())):
         schema = schema.add(name, kind)
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)
 
 
 def score_toxicity(docs: DataFrame, lexicon: Lexicon) -> DataFrame:

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import released
 from .textops import _BYTES, U64, buffer, chunks, mix
 
 #: The vocabulary: lines of base64 token and rank.
@@ -335,7 +336,7 @@ def encode(docs: DataFrame, path: str = VOCABULARY, columns: list[str] | None =
 
     todo = docs.select(*[F.col(f"`{c}`") for c in columns], F.col("text").cast("string").alias("text"))
     kept = ", ".join(f"`{c}` {todo.schema.fields[i].dataType.simpleString()}" for i, c in enumerate(columns))
-    return todo.mapInArrow(run, f"{kept}, n_tokens int, tokens array<int>, ends array<int>, round_trip boolean")
+    return todo.mapInArrow(released(run), f"{kept}, n_tokens int, tokens array<int>, ends array<int>, round_trip boolean")
 
 
 def _same_bytes(got: np.ndarray, buf: np.ndarray, offsets: np.ndarray) -> list[bool]:
@@ -359,4 +360,4 @@ def decode(encoded: DataFrame, path: str = VOCABULARY) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     todo = encoded.select("doc_id", F.col("tokens").cast("array<int>").alias("tokens"))
-    return todo.mapInArrow(run, f"doc_id {todo.schema['doc_id'].dataType.simpleString()}, text string")
+    return todo.mapInArrow(released(run), f"doc_id {todo.schema['doc_id'].dataType.simpleString()}, text string")
