@@ -11,8 +11,8 @@ stand in many different contexts there (copies of one toxic text repeat its cont
 The sample of labelled rows is bounded by ``SAMPLE``; the documents that are then judged are all of them.
 
 A hit weighs less for each edit, much less inside quotation marks, less after a reporting word (said, wrote
-...), and more beside a word of address (you ...). A document is toxic from ``THRESHOLD`` on, if
-its weight also is ``DENSITY`` a word at least.
+...), and more beside a word of address (you ...). A document is toxic if any ``WINDOW`` words in a row weigh
+``THRESHOLD``, however long the rest is; or if it weighs ``THRESHOLD`` as a whole and ``DENSITY`` a word.
 """
 
 from __future__ import annotations
@@ -35,6 +35,8 @@ from .textops import buffer, chunks, word_hashes, words
 #: Labelled rows the lexicon is fitted on, those with the smallest hashes of doc_id.
 SAMPLE = 20_000
 THRESHOLD, DENSITY = 1.5, 0.0005
+#: Words in which the hits that make a document toxic stand together; a document of no more is judged as a whole.
+WINDOW = round(THRESHOLD / DENSITY)
 EDIT_WEIGHT = (1.0, 0.6, 0.4)
 QUOTED, REPORTED, ADDRESSED = 0.25, 0.5, 1.25
 #: Words before a hit in which a reporting word counts, and on both sides a word of address.
@@ -164,20 +166,43 @@ class Automaton:
         return best[1], best[0]
 
 
-def judge(tokens: list[str], hits: list[tuple[int, int, bool]]) -> tuple[float, int]:
-    """(weight, hits in quotation) of a document's (word number, edits, in quotation marks) hits."""
-    total, quoted = 0.0, 0
+def weights(tokens: list[str], hits: list[tuple[int, int, bool]]) -> list[float]:
+    """The weight of each of a document's (word number, edits, in quotation marks) hits."""
+    out = []
     for i, edits, inside in hits:
         w = EDIT_WEIGHT[edits]
         if inside:
             w *= QUOTED
-            quoted += 1
         elif any(t in REPORTING for t in tokens[max(0, i - REPORT_SPAN) : i]):
             w *= REPORTED
         if any(t in ADDRESS for t in tokens[max(0, i - ADDRESS_SPAN) : i + ADDRESS_SPAN + 1]):
             w *= ADDRESSED
-        total += w
-    return total, quoted
+        out.append(w)
+    return out
+
+
+def judge(tokens: list[str], hits: list[tuple[int, int, bool]]) -> tuple[float, int]:
+    """(weight, hits in quotation) of a document's (word number, edits, in quotation marks) hits."""
+    return sum(weights(tokens, hits)), sum(inside for _, _, inside in hits)
+
+
+def densest(at: list[int], weight: list[float]) -> float:
+    """The most that the hits at ascending word numbers weigh within WINDOW words."""
+    best = now = 0.0
+    first = 0
+    for i, w in zip(at, weight):
+        now += w
+        while at[first] <= i - WINDOW:
+            now -= weight[first]
+            first += 1
+        best = max(best, now)
+    return best
+
+
+def verdict(at: list[int], weight: list[float], n_words: int) -> bool:
+    """Whether hits at ascending word numbers make a document of n_words toxic."""
+    total = round(sum(weight), 6)
+    return total >= THRESHOLD and (total >= DENSITY * n_words or round(densest(at, weight), 6) >= THRESHOLD)
 
 
 class Scorer:
@@ -230,9 +255,10 @@ class Scorer:
             tokens = [""] * (b - a)
             for j in near:
                 tokens[j] = raw[rel_start[j] : rel_end[j]].decode("utf-8", "replace")
-            total, quoted = judge(tokens, [(i, x, any(s <= rel_start[i] < e for s, e in spans)) for i, x in local])
-            out_hits[d], out_quoted[d], out_score[d] = len(local), quoted, round(total, 6)
-            out_toxic[d] = out_score[d] >= max(THRESHOLD, DENSITY * (b - a))
+            found = [(i, x, any(s <= rel_start[i] < e for s, e in spans)) for i, x in local]
+            weight = weights(tokens, found)
+            out_hits[d], out_quoted[d], out_score[d] = len(local), sum(inside for _, _, inside in found), round(sum(weight), 6)
+            out_toxic[d] = verdict([i for i, _ in local], weight, b - a)
         return out_hits, out_quoted, out_score, out_toxic
 
 
