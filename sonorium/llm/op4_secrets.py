@@ -1,6 +1,7 @@
 """Secret scans: values in a credential context, judged by how many guesses they would take.
 
-A context is a credential word (password, token, api key ...) with ``=`` or ``:`` and a value after it.
+A context is a credential word (password, token, api key ...) with ``=`` or ``:`` and a value after it: all
+between a quotation mark and the next of its kind on the line, or without one what stands up to white space.
 Each value is cut into the segments that an attacker would guess most cheaply, by dynamic programming over
 all segmentations into known words (with capitals, reversal and look-alike digits), dates, repeated units,
 keyboard walks and brute-force spans. A value that still needs ``SECRET`` decades of guesses is a secret; words
@@ -24,7 +25,12 @@ from .textops import chunks
 SECRET = 8.0
 KEYS = r"passwords?|passwd|pwd|passphrase|secret|token|api[_\-]?key|access[_\-]?key|auth[_\-]?key|private[_\-]?key|credentials?"
 _PREFILTER = rf"(?i)(?:{KEYS})[\"']?\s*[:=]"
-_CONTEXT = re.compile(rf"(?i)({KEYS})[\"']?\s*[:=]+>?\s*([\"']?)([^\s\"'<>,;]+)\2")
+#: A quoted value; a mark that a joining operator follows closes a string of source code.
+_QUOTED = r"\"(?!\s+[+.&|]\s)(?P<double>(?:[^\"\\\r\n]|\\.)++)\"|'(?!\s+[+.&|]\s)(?P<single>(?:[^'\\\r\n]|\\.)++)'"
+#: What ends a bare value besides white space: a mark that closes, an HTML tag, the next name of a list of settings.
+_STOP = r"[\"'](?=[\s,;:)\]}>]|\Z)|</[a-z]|<(?:br|hr|p|div|span|li|td|tr|a|b|i|em|strong|code)\b[^<>\n]*>|[,;](?=[\"']?[a-z_][\w.\-]{1,40}[\"']?\s*[:=])"
+_CONTEXT = re.compile(rf"(?i)(?P<key>{KEYS})[\"']?\s*[:=]+>?\s*(?:{_QUOTED}|[\"']?(?![\"'])(?P<bare>(?:(?!{_STOP})\S)++))")
+_PAIRS = {")": "(", "]": "[", "}": "{", ">": "<"}
 
 #: Common passwords and words, most common first; the rank is the number of guesses.
 WORDS = (
@@ -158,9 +164,21 @@ def guess_cost(s: str) -> tuple[float, str]:
     return best[n][0], " ".join(reversed(cuts))
 
 
+def _bare(value: str) -> str:
+    """A value without quotation marks, less the commas, semicolons and unopened brackets behind it."""
+    n = len(value)
+    surplus = {c: value.count(c) - value.count(o) for c, o in _PAIRS.items()}
+    while n and (value[n - 1] in ",;" or surplus.get(value[n - 1], 0) > 0):
+        if value[n - 1] in surplus:
+            surplus[value[n - 1]] -= 1
+        n -= 1
+    return value[:n]
+
+
 def contexts(text: str) -> list[tuple[int, str, str]]:
     """(character offset of the value, credential word, value) of every credential context."""
-    return [(m.start(3), m[1].lower(), m[3]) for m in _CONTEXT.finditer(text)]
+    found = ((m.start(m.lastgroup), m["key"].lower(), _bare(m["bare"]) if m.lastgroup == "bare" else m[m.lastgroup]) for m in _CONTEXT.finditer(text))
+    return [(at, key, value) for at, key, value in found if value]
 
 
 _OUT = "doc_id long, at int, credential string, value_length int, guesses_log10 double, segments string, is_secret boolean"

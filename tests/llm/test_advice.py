@@ -5,6 +5,7 @@ from __future__ import annotations
 import pyarrow as pa
 import pytest
 
+from sonorium.llm import op4_secrets as op4
 from sonorium.llm import op7_toxicity as op7
 
 PLAIN = op7.Lexicon(list(op7.BASE), [], list(op7.CLEAN))
@@ -35,3 +36,45 @@ def test_whatever_the_length_scaled_bar_found_stays_found():
     n = len(text.split())
     (hits, _, score, toxic) = scored(text)[0]
     assert hits == 20 and score >= max(op7.THRESHOLD, op7.DENSITY * n) and toxic
+
+
+# --- secrets: values are taken whole
+
+
+def whole_values(text):  # noqa: ANN001, ANN201
+    """The values of one-line settings "key = value", one a line, read character by character."""
+    out = []
+    for line in text.splitlines():
+        value = line[min(line.index(c) for c in "=:" if c in line) + 1 :].strip(" ")
+        if value[0] in "\"'":
+            end = 1
+            while value[end] != value[0]:
+                end += 2 if value[end] == "\\" else 1
+            out.append(value[1:end])
+        else:
+            out.append(value.split()[0])
+    return out
+
+
+def test_values_are_taken_whole():
+    text = "\n".join([
+        'password = "Tr0ub4dor,&3xQ9!z"', 'passphrase: "correct-zorb blimp quartz 93"', "pwd = 'aB\"9x!Kq02mN'", "password=K9;x$Qw72!zLpp", 'secret = "a\\"b <9x>;Kq" # "old"', "token: 'it\\'s 9xKq,02'", "api_key=aB\"9x!K'q02mN",
+        "token=Zx81<kQ>p,w02mN rest", 'pwd: "  k9 "', "secret=hJ8#kd92LqPz", "token=(aB9)[x]",
+    ])
+    found = op4.contexts(text)
+    assert [v for _, _, v in found] == whole_values(text)
+    assert all(text[at : at + len(v)] == v for at, _, v in found)
+    assert [op4.guess_cost(v)[0] >= op4.SECRET for _, _, v in found[:4]] == [True] * 4
+
+
+@pytest.mark.parametrize("text, values", [
+    ("{'token': 'a b', \"secret\": \"c,d\"}", ["a b", "c,d"]), ('{"m":"token=abc","n":1}', ["abc"]), ("user=x;password=abc;server=y", ["abc"]), ("password=abc,token=Zx81kQpw02mN;", ["abc", "Zx81kQpw02mN"]),
+    ("(see token=abc), [pwd: x]", ["abc", "x"]), ("<b>password: abc</b> <i>token=<hidden></i><br>pwd=ab<br/>", ["abc", "<hidden>", "ab"]), ('s = "password=" + pw + ", token=" + t + ""', []), ('password = "never closed', ["never"]), ('password = "a\nb"', ["a"]), ('password="" pwd = \'\'', []),
+])
+def test_values_end_where_they_end(text, values):
+    assert [v for _, _, v in op4.contexts(text)] == values
+
+
+def test_values_in_hostile_texts_take_linear_time():
+    for text in ('password="' * 50_000, "token='\\" * 50_000, "secret=" + "<a,b;" * 40_000, "pwd=" + "a_b,\"" * 40_000 + " "):
+        op4.contexts(text)
