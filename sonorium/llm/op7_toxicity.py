@@ -18,9 +18,11 @@ A hit weighs less for each edit, much less inside quotation marks, less after a
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -58,7 +60,79 @@ CLEAN = (
 ).split()
 REPORTING = set("said says wrote writes called calls quoted quote quotes claimed alleged reported tweeted dit disait écrit sagte schrieb nannte dijo llamó escribió".split())
 ADDRESS = set("you your you're youre yourself u ur tu te toi ton vous votre du dich dir dein ihr euch eres usted tú ti".split())
-_QUOTES = re.compile("“[^”\n]{1,400}”|„[^“”\n]{1,400}[“”]|«[^»\n]{1,400}»|(?<![^\\s(\\[])\"[^\"\n]{1,400}\"(?![^\\s.,;:!?)\\]])")
+_MARK = re.compile("[“”„«»\"]|\n[ \t\r]*\n")
+#: White space before the first mark of a line.
+_INDENT = 64
+_CLOSES = {"”": ("“", "„"), "“": ("„",), "»": ("«",)}
+
+
+class Span(NamedTuple):
+    a: int
+    b: int
+
+    def span(self) -> tuple[int, int]:
+        return self.a, self.b
+
+
+class Quotations:
+    """Outermost quotations of a text, of any length, paired in one pass over its marks.
+
+    A mark closes the last open one of its kind, and what was opened since and never closed falls away. Straight
+    marks open behind white space or a bracket and close before white space or punctuation; one that can only open
+    gives up the straight one before it. A mark that opens a line of the same or the next paragraph, while
+    its kind is open, carries the quotation on. What is never closed is no quotation.
+    """
+
+    def finditer(self, text: str) -> Iterator[Span]:
+        stack: list[list] = []  # kind, start, paragraph
+        count: Counter[str] = Counter()
+        done: list[Span] = []
+        paragraph = 0
+        for m in _MARK.finditer(text):
+            c, at = m.group(), m.start()
+            if c[0] == "\n":
+                paragraph += 1
+                continue
+            if c == '"':
+                opens = at == 0 or text[at - 1].isspace() or text[at - 1] in "([“„«"
+                closes = at + 1 == len(text) or text[at + 1].isspace() or text[at + 1] in ".,;:!?)]”“»"
+                closed = (c,) if closes and count[c] else ()
+            else:
+                opens, closed = c in "“„«", tuple(k for k in _CLOSES.get(c, ()) if count[k])
+            if closed:
+                while True:
+                    kind, start, _ = stack.pop()
+                    count[kind] -= 1
+                    if kind in closed:
+                        break
+                while done and done[-1].a >= start:
+                    done.pop()
+                done.append(Span(start, m.end()))
+            elif opens:
+                before = text[max(0, at - _INDENT) : at].rstrip(" \t")
+                first = before[-1:] == "\n"
+                if stack and stack[-1][0] == c and first and stack[-1][2] >= paragraph - 1:
+                    stack[-1][2] = paragraph
+                    continue
+                if c == '"' and stack and stack[-1][0] == c:
+                    stack[-1][1:] = [at, paragraph]
+                    continue
+                stack.append([c, at, paragraph])
+                count[c] += 1
+        yield from done
+
+
+_QUOTES = Quotations()
+
+
+def quoted_bytes(text: str) -> list[tuple[int, int]]:
+    """Start and end of each outermost quotation, in bytes of UTF-8."""
+    out, at, size = [], 0, 0
+    for m in _QUOTES.finditer(text):
+        a = size + len(text[at : m.a].encode())
+        at, size = m.b, a + len(text[m.a : m.b].encode())
+        out.append((a, size))
+    return out
 
 
 def tolerance(term: str) -> int:
@@ -247,7 +321,8 @@ class Scorer:
             a, b, o = int(first[d]), int(first[d + 1]), int(offsets[d])
             raw = buf[o : int(offsets[d + 1])].tobytes()
             text = raw.decode("utf-8", "replace")
-            spans = [(len(text[: m.start()].encode()), len(text[: m.end()].encode())) for m in _QUOTES.finditer(text)] if any(q in text for q in '"“„«') else []
+            spans = quoted_bytes(text) if any(q in text for q in '"“„«') else []
+            opening = [x for x, _ in spans]
             rel_start = (start[a:b] - o).tolist()
             rel_end = (end[a:b] - o).tolist()
             local = [(int(i) - a, int(x)) for i, x in zip(at[mine], edits[mine])]
@@ -255,7 +330,7 @@ class Scorer:
             tokens = [""] * (b - a)
             for j in near:
                 tokens[j] = raw[rel_start[j] : rel_end[j]].decode("utf-8", "replace")
-            found = [(i, x, any(s <= rel_start[i] < e for s, e in spans)) for i, x in local]
+            found = [(i, x, (k := bisect_right(opening, rel_start[i])) > 0 and rel_start[i] < spans[k - 1][1]) for i, x in local]
             weight = weights(tokens, found)
             out_hits[d], out_quoted[d], out_score[d] = len(local), sum(inside for _, _, inside in found), round(sum(weight), 6)
             out_toxic[d] = verdict([i for i, _ in local], weight, b - a)

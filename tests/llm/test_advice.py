@@ -38,6 +38,35 @@ def test_whatever_the_length_scaled_bar_found_stays_found():
     assert hits == 20 and score >= max(op7.THRESHOLD, op7.DENSITY * n) and toxic
 
 
+# --- toxicity: quotations of any length, over lines and paragraphs, nested
+
+LONG = "and so the account of that day went on, word for word. " * 100
+HITS = "an idiot and moron too"  # away from the marks: non-ASCII ones count as parts of words
+
+
+@pytest.mark.parametrize("text", [
+    f"“{LONG}{HITS} {LONG}”", f'he read: "{LONG}{HITS} {LONG}" and left', f"„{LONG}{HITS} {LONG}“", f"«{LONG}{HITS}» fin", f"“one line\n{HITS}\nanother” it says", f'"one line\n{HITS}\nanother," it says', f"«one\n\n{HITS}\n\nthree»",
+    f"“{LONG}\n\n“{HITS} {LONG}\n\n“the end.” so it ends", f'"{LONG}\n\n"{HITS} {LONG}\n\n"the end." so it ends', f"“so they “shouted” and „muttered“ and {HITS}” it says", f"“a \"b\" c {HITS}”", f"“a stray \" mark {HITS}”", f"(“é😀” 5\" tall) “{HITS}”",
+])
+def test_long_and_nested_quotations_are_quotations(text):
+    hits, quoted, score, toxic = scored(text)[0]
+    assert (hits, quoted, score, toxic) == (2, 2, 0.5, False)
+
+
+@pytest.mark.parametrize("text", [
+    f"“{LONG}{HITS}", f'"{LONG}{HITS} {LONG}', f"“never closed here. {HITS}\n\nplain\n\n“a quotation” and", f"“short” {HITS} “short”", f'"short" {HITS} "short"', f'"stray {HITS} then "short" end', f"»{HITS}«", f"”{HITS}“", f'12" {HITS} 5" tall',
+])
+def test_what_is_not_closed_is_no_quotation(text):
+    hits, quoted, score, toxic = scored(text)[0]
+    assert (hits, quoted, score, toxic) == (2, 0, 2.0, True)
+
+
+def test_many_marks_take_linear_time():
+    for text in ("“" * 200_000, "“a”" * 100_000, '"a ' * 100_000, "“\"«" * 70_000 + "»”" * 70_000, "\n“" * 100_000 + "”"):
+        spans = [m.span() for m in op7._QUOTES.finditer(text)]
+        assert all(a < b for a, b in spans) and all(x[1] <= y[0] for x, y in zip(spans, spans[1:]))
+
+
 # --- secrets: values are taken whole
 
 
