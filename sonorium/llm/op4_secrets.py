@@ -54,11 +54,13 @@ _LONGEST_UNIT = 16
 _LONGEST_WALK = 40
 
 
+#: (row, column) of every key.
+_SPOT = {c: (r, i + (r > 0)) for r, row in enumerate(_ROWS) for i, c in enumerate(row)}
+
+
 def _neighbours() -> dict[str, set[str]]:
-    spot = {c: (r, i) for r, row in enumerate(_ROWS) for i, c in enumerate(row)}
-    shift = (0, 1, 1, 1)
-    near = lambda a, b: abs(a[0] - b[0]) <= 1 and abs((a[1] + shift[a[0]]) - (b[1] + shift[b[0]])) <= 1 and a != b
-    return {c: {d for d in spot if near(spot[c], spot[d])} for c in spot}
+    near = lambda a, b: abs(a[0] - b[0]) <= 1 and abs(a[1] - b[1]) <= 1 and a != b
+    return {c: {d for d in _SPOT if near(_SPOT[c], _SPOT[d])} for c in _SPOT}
 
 
 NEAR = _neighbours()
@@ -103,7 +105,8 @@ def walk_cost(s: str) -> float | None:
     low = s.lower()
     if len(s) < 3 or any(b not in NEAR.get(a, ()) for a, b in zip(low, low[1:])):
         return None
-    steps = [ord(b) - ord(a) for a, b in zip(low, low[1:])]
+    spots = [_SPOT[c] for c in low]
+    steps = [(r - p, c - q) for (p, q), (r, c) in zip(spots, spots[1:])]
     turns = 1 + sum(x != y for x, y in zip(steps, steps[1:]))
     return _walk_guesses(min(len(s), _LONGEST_WALK), turns) + (0.5 if low != s else 0.0)
 

@@ -107,3 +107,12 @@ def test_values_end_where_they_end(text, values):
 def test_values_in_hostile_texts_take_linear_time():
     for text in ('password="' * 50_000, "token='\\" * 50_000, "secret=" + "<a,b;" * 40_000, "pwd=" + "a_b,\"" * 40_000 + " "):
         op4.contexts(text)
+
+
+@pytest.mark.parametrize("walk, turns", [("ertyuiop[]", 1), ("poiuytre", 1), ("qaz", 1), ("1qaz", 1), ("zaq", 1), ("qwert", 1), ("qwedsa", 3), ("qwq", 2), ("ASDFGH", 1)])
+def test_walks_turn_on_the_keyboard(walk, turns):
+    assert op4.walk_cost(walk) == op4._walk_guesses(len(walk), turns) + (0.5 if walk.isupper() else 0.0)
+
+
+def test_a_straight_walk_is_no_secret():
+    assert round(op4.walk_cost("ertyuiop[]"), 1) == 3.3 and op4.guess_cost("ertyuiop[]")[0] < op4.SECRET
