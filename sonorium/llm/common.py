@@ -11,8 +11,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Most rows of a key table that may be broadcast; a larger one is shuffle-joined.
-BROADCAST_ROWS = 1_000_000
+#: Most bytes of a key table that may be broadcast, reckoned from its row count and width; a larger one is shuffle-joined.
+BROADCAST_BYTES = 32 << 20
+#: Bytes that a broadcast row takes beside its values, and what a text or a list in it is taken for.
+_ROW_BYTES, _WIDE_BYTES = 24, 64
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -40,7 +42,17 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found._cut_path = path
+    return found
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that cut() wrote, once all that is made from them is written itself."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df._cut_path)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -68,14 +80,16 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def small(df: DataFrame, most: int = BROADCAST_ROWS) -> bool:
+def small(df: DataFrame, most: int) -> bool:
     """Whether df has at most that many rows; stops counting beyond."""
     return df.limit(most + 1).count() <= most
 
 
-def maybe_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if its counted size allows it, else as it is."""
-    return F.broadcast(df) if small(df, most) else df
+def maybe_broadcast(df: DataFrame, most: int | None = None, row_bytes: int | None = None) -> DataFrame:
+    """df with a broadcast hint if its counted rows, of about row_bytes each, keep to BROADCAST_BYTES (and to most rows)."""
+    width = row_bytes or _ROW_BYTES + sum(8 if t in ("bigint", "int", "double", "boolean", "float", "smallint", "tinyint") else _WIDE_BYTES for _, t in df.dtypes)
+    fits = BROADCAST_BYTES // width
+    return F.broadcast(df) if small(df, fits if most is None else min(most, fits)) else df
 
 
 def key_text(doc_id: Column, text: Column) -> Column:

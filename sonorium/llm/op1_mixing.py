@@ -77,7 +77,7 @@ def mix_sources(docs: DataFrame, targets: dict[str, float] | None = None, epochs
     keep = columns or docs.columns
     who, src, reps, no = (fresh(docs, c) for c in ("mix_key", "mix_source", "mix_reps", "mix_copy"))
     dist = distributions(rates(docs, targets, epochs, power))
-    dist = maybe_broadcast(dist.select(F.col("source").alias(src), F.col("pieces").alias(reps), F.col("cdf").alias(no)), 100_000)
+    dist = maybe_broadcast(dist.select(F.col("source").alias(src), F.col("pieces").alias(reps), F.col("cdf").alias(no)), row_bytes=64 + 8 * (TERMS + 1))
     keyed = docs.withColumn(who, key_text(F.col("doc_id"), F.col("text"))).alias("d")
     drawn = keyed.join(dist.alias("r"), F.col("d.source").cast("string").eqNullSafe(F.col(f"r.{src}")))
     one = lambda i: F.size(F.filter(F.col(f"r.{no}"), lambda c: c <= uniform(F.lit(str(seed)), F.col(f"d.{who}"), i.cast("string"))))

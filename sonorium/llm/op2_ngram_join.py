@@ -1,17 +1,20 @@
-"""N-gram Jaccard self-join: all pairs of documents whose sets of word n-grams agree to ``THRESHOLD``.
-
-1. One pass makes every document's set (64-bit digest of the set, size) and each partition's counts of the grams in a
-   fixed sketch; the merged sketch orders grams from rare to common. Any order common to all documents is right,
-   a rarer-first one is fast. Documents with equal sets share the digest and are one *node* from there on.
-2. A set of n grams sends its first n - ceil(t n) + 1 grams in that order (its prefix); two sets that agree
-   to t share one. Prefixes travel packed, a row for each bucket of grams, with positions and sizes.
-3. In a bucket, the nodes of a gram are paired, smallest first, if their sizes (length filter) and places
-   (positional filter) allow an overlap that reaches t. A pair's matches are then added up over the buckets, and
-   the positional filter is applied again behind its last match; what remains is one row a pair.
-4. The pairs of a neighbourhood (those whose first node has the same smallest partner) meet in one cell, or in a grid
-   of cells if the neighbourhood is large, and each node travels to a cell once. First its histogram of hash
-   ranges goes there, about a third of a byte a gram: the sum of the smaller counts bounds a pair's overlap (suffix
-   filter). The sets of the pairs that remain go there next and are intersected, once a pair.
+"""N-gram Jaccard self-join: all documents whose sets of word n-grams agree to ``THRESHOLD``, as classes with link counts.
+
+1. One pass makes every document's set (64-bit digest of the set, size, a histogram of hash ranges) and each
+   partition's counts of the grams in a fixed sketch; the merged sketch orders grams from rare to common. Any order common
+   to all documents is right, a rarer-first one is fast. Documents with equal sets share the digest and
+   are one *node* from there on.
+2. A set of n grams sends its first n - ceil(t n) + 1 grams in that order (its prefix); two sets that agree to t
+   share one. Prefixes travel packed, a row for each bucket (a range of 40-bit gram ids), with places and sizes.
+3. In a bucket, the nodes of a gram are paired, smallest first, if their sizes (length filter) allow it and if
+   the gram can be the *first* that they share: with nothing shared before it, what follows its places must suffice (positional
+   filter). Every pair that agrees has such a first gram. Each node also carries its ``MARKS`` prefix grams of smallest
+   salted hash: a pair that shares some of these is reported by the smallest one's bucket alone, which both are sure to visit,
+   so that near copies aren't reported by every bucket they meet in.
+4. The pairs of a neighbourhood meet in one cell, or in a grid of cells if it is large, and each node travels to a cell
+   once. First its histogram goes there: the sum of the smaller counts bounds a pair's overlap (suffix filter). The
+   sets of the pairs that remain go there next and are intersected, once a pair. A cell reports each node's links
+   and closest partner and a spanning forest of its pairs, so that rows follow the nodes and not the pairs.
 """
 
 from __future__ import annotations
@@ -25,19 +28,21 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, maybe_broadcast, partitions, released, remove_rows
+from .common import cut, discard, maybe_broadcast, partitions, released, remove_rows
 from .textops import U64, chunks, gram_sets, mix
 
 N, THRESHOLD = 2, 0.55
 #: Counters of the sketch (a power of two) and slices it is merged in.
-CELLS, SLICES = 1 << 21, 32
-_LOW = U64((1 << 56) - 1)
-_ID = (1 << 48) - 1
-_FAR = 65_535  # a place that doesn't fit; filters let it pass
-_FLUSH = 1_500_000
+CELLS, SLICES = 1 << 24, 64
+#: Grams of a prefix that a node carries with it.
+MARKS = 2
+#: Prefix entries of a bucket, and of a flush of a partition's prefixes.
+BUCKET_ENTRIES, _FLUSH = 2_000_000, 1_000_000
 #: Nodes of either side that a cell of a large neighbourhood holds.
 CELL = 4096
 _EPS = 1e-9
+_IDS = 40
+_SALT = U64(0x5851F42D4C957F2D)
 
 
 def digest(grams: np.ndarray) -> int:
@@ -52,9 +57,24 @@ def needed(na, nb, t: float):  # noqa: ANN001, ANN201
     return np.ceil(t / (1 + t) * (na + nb) - _EPS)
 
 
+def packed(*arrays: np.ndarray) -> bytes:
+    """The arrays' bytes, place by place of their items, compressed: places that are nearly always 0 cost next to nothing."""
+    return zstandard.compress(b"".join(np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T).tobytes() for a in arrays), 1)
+
+
+def unpacked(blob: bytes, *shapes: tuple[int, str]) -> list[np.ndarray]:
+    """The arrays of packed(), given their lengths and types."""
+    raw, at, out = zstandard.decompress(blob), 0, []
+    for n, kind in shapes:
+        size = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n).T).view(kind).ravel())
+        at += n * size
+    return out
+
+
 def histogram(grams: np.ndarray) -> bytes:
-    """Counts of a set's grams in at least as many equal ranges of the hash, a power of two of them, compressed."""
-    k = max(len(grams) - 1, 1).bit_length()
+    """Counts of a set's grams in equal ranges of the hash, a power of two of them and about a gram or two a range, compressed."""
+    k = max((len(grams) - 1).bit_length() - 1, 1)
     counts = np.bincount((grams >> U64(56 - k)).astype(np.int64), minlength=1 << k)
     return zstandard.compress(counts.astype(np.uint8).tobytes(), 1) if counts.max() < 256 else b""
 
@@ -71,19 +91,18 @@ _FIRST = "kind int, node long, id long, mark long, n int, slice int, counts bina
 
 def _first_pass(n: int):  # noqa: ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(CELLS, np.uint32)
+        counts = np.zeros(CELLS, np.uint16)
         for batch in batches:
             for b in chunks(batch, "text"):
                 sets = gram_sets(b.column("text"), n)
-                every = np.concatenate(sets)
-                counts += np.bincount((every & U64(CELLS - 1)).astype(np.int64), minlength=CELLS).astype(np.uint32)
+                cells, times = np.unique(np.concatenate(sets).astype(np.uint32) & np.uint32(CELLS - 1), return_counts=True)
+                counts[cells] = np.minimum(counts[cells] + times, 65_535)
                 nothing = pa.nulls(len(sets), pa.int32()), pa.array([histogram(s) if len(s) else None for s in sets], pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(sets), np.int32)), pa.array([digest(s) for s in sets], pa.int64()), b.column("id"), b.column("mark"), pa.array([len(s) for s in sets], pa.int32()), *nothing], ["kind", "node", "id", "mark", "n", "slice", "counts"])
         if counts.any():
-            parts = counts.reshape(SLICES, -1)
-            kind = np.uint16 if counts.max() < 1 << 16 else np.uint32
-            none = pa.nulls(SLICES, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(SLICES, 1, np.int32)), none, none, none, pa.array(np.full(SLICES, np.dtype(kind).itemsize, np.int32)), pa.array(np.arange(SLICES, dtype=np.int32)), pa.array([p.astype(kind).tobytes() for p in parts], pa.binary())], ["kind", "node", "id", "mark", "n", "slice", "counts"])
+            none, size = pa.nulls(SLICES, pa.int64()), CELLS // SLICES
+            slices = [packed(counts[s * size : (s + 1) * size]) for s in range(SLICES)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(SLICES, 1, np.int32)), none, none, none, pa.nulls(SLICES, pa.int32()), pa.array(np.arange(SLICES, dtype=np.int32)), pa.array(slices, pa.binary())], ["kind", "node", "id", "mark", "n", "slice", "counts"])
 
     return run
 
@@ -91,12 +110,12 @@ def _first_pass(n: int):  # noqa: ANN202
 def _merge_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[int, np.ndarray] = {}
     for b in batches:
-        for s, size, blob in zip(b.column("slice").to_pylist(), b.column("n").to_pylist(), b.column("counts").to_pylist()):
-            c = np.frombuffer(blob, f"<u{size}").astype(np.int64)
+        for s, blob in zip(b.column("slice").to_pylist(), b.column("counts").to_pylist()):
+            c = unpacked(blob, (CELLS // SLICES, "<u2"))[0].astype(np.int64)
             held[s] = held[s] + c if s in held else c
     for s, c in held.items():
         common = np.minimum(255, 8 * np.log2(1.0 + c)).astype(np.uint8)
-        yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([common.tobytes()], pa.binary())], ["slice", "common"])
+        yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([packed(common)], pa.binary())], ["slice", "common"])
 
 
 def prefixes(sets: list[np.ndarray], common: np.ndarray, t: float) -> list[np.ndarray]:
@@ -111,66 +130,67 @@ def prefixes(sets: list[np.ndarray], common: np.ndarray, t: float) -> list[np.nd
 def _second_pass(common, n: int, t: float, buckets: int):  # noqa: ANN001, ANN202
     def flush(nodes: list[int], sizes: list[int], held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         count = np.array([len(h) for h in held])
-        m = mix(np.concatenate(held))
-        doc = np.repeat(np.arange(len(held), dtype=np.uint16), count)
-        place = np.minimum(np.arange(len(m)) - np.repeat(np.cumsum(count) - count, count), _FAR).astype(np.uint16)
-        bucket = ((m >> U64(32)) % U64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        node, size = np.array(nodes, np.int64), np.array(sizes, np.int32)
+        gram = mix(np.concatenate(held)) >> U64(64 - _IDS)
+        first = np.cumsum(count) - count
+        doc = np.repeat(np.arange(len(held), dtype=np.uint32), count)
+        place = (np.arange(len(gram)) - np.repeat(first, count)).astype(np.uint32)
+        marks = np.empty((MARKS, len(held)), U64)
+        for i, (a, k) in enumerate(zip(first.tolist(), count.tolist())):
+            own = gram[a : a + k]
+            marks[:, i] = np.resize(own[np.argpartition(mix(own ^ _SALT), min(MARKS, k) - 1)[:MARKS]], MARKS)
+        order = np.argsort(gram, kind="stable")
+        gram, doc, place = gram[order], doc[order], place[order]
+        bucket = (gram * U64(buckets)) >> U64(_IDS)
+        cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=U64))
+        node, size = np.array(nodes, np.int64), np.array(sizes, np.uint32)
         for k in np.flatnonzero(np.diff(cuts)).tolist():
-            mine = order[cuts[k] : cuts[k + 1]]
-            used, local = np.unique(doc[mine], return_inverse=True)
-            ids = m[mine].view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-            blob = b"".join((np.array([len(used), len(mine)], np.int32).tobytes(), node[used].tobytes(), size[used].tobytes(), local.astype(np.uint16).tobytes(), place[mine].tobytes(), ids))
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([blob], pa.binary())], ["bucket", "blob"])
+            a, b = int(cuts[k]), int(cuts[k + 1])
+            used, local = np.unique(doc[a:b], return_inverse=True)
+            gaps = np.diff(gram[a:b], prepend=U64(0))
+            blob = packed(node[used], size[used], *marks[:, used], gaps, local.astype(np.uint32), place[a:b])
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.int32()) for x in (k, len(used), b - a)] + [pa.array([blob], pa.binary())], ["bucket", "nodes", "entries", "blob"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nodes, sizes, held, total = [], [], [], 0
         seen: set[int] = set()
         for batch in batches:
             for b in chunks(batch, "text"):
-                sets = gram_sets(b.column("text"), n)
-                fresh_sets = []
-                for s in sets:
+                for s in gram_sets(b.column("text"), n):
                     d = digest(s)
                     if len(s) and d not in seen:  # a partition sends a node once
                         seen.add(d)
                         nodes.append(d)
                         sizes.append(len(s))
-                        fresh_sets.append(s)
-                p = prefixes(fresh_sets, common, t)
-                held += p
-                total += sum(map(len, p))
-                if total > _FLUSH or len(held) > 50_000:
-                    yield from flush(nodes, sizes, held)
-                    nodes, sizes, held, total = [], [], [], 0
+                        held += prefixes([s], common, t)
+                        total += len(held[-1])
+                        if total > _FLUSH:
+                            yield from flush(nodes, sizes, held)
+                            nodes, sizes, held, total = [], [], [], 0
         if held:
             yield from flush(nodes, sizes, held)
 
     return run
 
 
-def _unpack(blobs: list[bytes]) -> tuple[np.ndarray, ...]:
-    """(node, size of each distinct node; gram, node number, place of each entry)."""
-    node, size, which, place, gram, base = [], [], [], [], [], 0
-    for x in blobs:
-        k, m = np.frombuffer(x, np.int32, 2).tolist()
-        node.append(np.frombuffer(x, np.int64, k, 8))
-        size.append(np.frombuffer(x, np.int32, k, at := 8 + 8 * k))
-        which.append(np.frombuffer(x, np.uint16, m, at := at + 4 * k).astype(np.int64) + base)
-        place.append(np.frombuffer(x, np.uint16, m, at := at + 2 * m))
-        wide = np.zeros((m, 8), np.uint8)
-        wide[:, :6] = np.frombuffer(x, np.uint8, 6 * m, at + 2 * m).reshape(m, 6)
-        gram.append(wide.view(np.int64).ravel())
+def _unpack(blobs: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]:
+    """(node, size, marks of each distinct node; gram, node number, place of each entry)."""
+    node, size, marks, which, place, gram, base = [], [], [], [], [], [], 0
+    for k, m, blob in blobs:
+        x = unpacked(blob, (k, "<i8"), (k, "<u4"), *[(k, "<u8")] * MARKS, (m, "<u8"), (m, "<u4"), (m, "<u4"))
+        node.append(x[0])
+        size.append(x[1])
+        marks.append(np.stack(x[2:-3]))
+        gram.append(np.cumsum(x[-3]))
+        which.append((x[-2] + base).astype(np.int32))
+        place.append(x[-1].astype(np.int32))
         base += k
     node, first, number = np.unique(np.concatenate(node), return_index=True, return_inverse=True)
-    return node, np.concatenate(size)[first].astype(np.int64), np.concatenate(gram), number[np.concatenate(which)], np.concatenate(place).astype(np.int64)
+    return node, np.concatenate(size)[first].astype(np.int64), np.concatenate(marks, 1)[:, first], np.concatenate(gram), number.astype(np.int32)[np.concatenate(which)], np.concatenate(place)
 
 
-def bucket_pairs(blobs: list[bytes], t: float) -> Iterator[tuple[np.ndarray, ...]]:
-    """(node a, node b, size a, size b, matches, last place in a, in b) of the pairs that meet in a bucket."""
-    node, size, gram, who, place = _unpack(blobs)
+def bucket_pairs(blobs: list[tuple[int, int, bytes]], t: float, bucket: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes a < b of the pairs that this bucket has to report, each once."""
+    node, size, marks, gram, who, place = _unpack(blobs)
     order = np.argsort(gram, kind="stable")
     g = gram[order]
     same = g[1:] == g[:-1]
@@ -178,79 +198,83 @@ def bucket_pairs(blobs: list[bytes], t: float) -> Iterator[tuple[np.ndarray, ...
     shared[1:] |= same
     shared[:-1] |= same
     order = order[shared]
-    order = order[np.lexsort((who[order], size[who[order]], gram[order]))]
-    g, w = gram[order], who[order]
-    once = np.ones(len(order), bool)
-    once[1:] = (g[1:] != g[:-1]) | (w[1:] != w[:-1])
-    order = order[once]
+    order = order[np.lexsort((place[order], who[order], size[who[order]], gram[order]))]
     g, w, p = gram[order], who[order], place[order]
+    once = np.ones(len(order), bool)  # a node comes from several partitions
+    once[1:] = (g[1:] != g[:-1]) | (w[1:] != w[:-1]) | (p[1:] != p[:-1])
+    g, w, p = g[once], w[once].astype(np.int64), p[once].astype(np.int64)
+    del order, gram, who, place
     s = size[w]
-    left, step = np.arange(len(g)), 0
-    held, total = [], 0
+    marked = (marks[:, w] == g).any(0)
+    group = np.cumsum(np.append(True, g[1:] != g[:-1])) if len(g) else g
+    left, step, held, total = np.arange(len(g)), 0, [np.empty(0, np.int64)], 0
     while len(left):
         step += 1
         left = left[left + step < len(g)]
         right = left + step
-        go = (g[left] == g[right]) & (s[left] >= t * s[right] - _EPS)
+        go = (group[left] == group[right]) & (s[left] >= t * s[right] - _EPS)
         left, right = left[go], right[go]
-        bound = np.minimum(p[left], p[right]) + 1 + np.minimum(s[left] - p[left], s[right] - p[right]) - 1
-        ok = (bound >= needed(s[left], s[right], t)) | (p[left] == _FAR) | (p[right] == _FAR)
-        a, b = left[ok], right[ok]
-        swap = w[a] > w[b]
-        a, b = np.where(swap, b, a), np.where(swap, a, b)
-        held.append((w[a] * len(node) + w[b], p[a], p[b]))
+        first = np.minimum(s[left] - p[left], s[right] - p[right]) >= needed(s[left], s[right], t)
+        ok = (first | (marked[left] & marked[right])) & (w[left] != w[right])
+        a, b = w[left[ok]], w[right[ok]]
+        held.append(np.minimum(a, b) * len(node) + np.maximum(a, b))
         total += len(a)
-        if total > 2_000_000 or (not len(left) and total):
-            key, pa_, pb_ = (np.concatenate([h[i] for h in held]) for i in range(3))
-            o = np.argsort(key, kind="stable")
-            key = key[o]
-            at = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-            x, y = np.divmod(key[at], len(node))
-            yield node[x], node[y], size[x], size[y], np.diff(np.append(at, len(key))), np.maximum.reduceat(pa_[o], at), np.maximum.reduceat(pb_[o], at)
-            held, total = [], 0
+        if total > 3_000_000:
+            held = [np.unique(np.concatenate(held))]
+            total = 0
+    a, b = np.divmod(np.unique(np.concatenate(held)), max(len(node), 1))
+    least = np.full(len(a), U64(1 << _IDS))  # the smallest mark that both have
+    for x in marks:
+        for y in marks:
+            least = np.where(x[a] == y[b], np.minimum(least, x[a]), least)
+    mine = (least == U64(1 << _IDS)) | ((least * U64(buckets)) >> U64(_IDS) == U64(bucket))
+    return node[a[mine]], node[b[mine]]
+
+
+def _pairs(t: float, buckets: int):  # noqa: ANN202
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blobs: dict[int, list[tuple[int, int, bytes]]] = {}
+        for batch in batches:
+            for bucket, k, m, blob in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                blobs.setdefault(bucket, []).append((k, m, blob))
+        for bucket in sorted(blobs):
+            a, b = bucket_pairs(blobs.pop(bucket), t, bucket, buckets)
+            for at in range(0, len(a), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x[at : at + 100_000]) for x in (a, b)], ["a", "b"])
 
+    return run
 
-_PAIR = "a long, b long, na int, nb int, c long, pa int, pb int"
 
+_CELL = "kind int, a long, b long, links long, jaccard double"
 
-def _pairs(t: float):  # noqa: ANN202
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs: dict[int, list[bytes]] = {}
-        for b in batches:
-            for k, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                blobs.setdefault(k, []).append(x)
-        for k in sorted(blobs):
-            for found in bucket_pairs(blobs.pop(k), t):
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(found, kinds)], [c.split()[0] for c in _PAIR.split(", ")])
 
-    return run
+def _in_cells(load, agree, report):  # noqa: ANN001, ANN202
+    """Runs agree(of x, of y) on the pairs of each cell, whose nodes come first, and reports a cell's [(x, y, members of x, of y, found)]."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, held, found = None, {}, []
 
-def _in_cells(load, agree):  # noqa: ANN001, ANN202
-    """Runs agree(x, y, what was loaded of x, of y) on the pairs of each cell; rows come with a cell's nodes first."""
+        def rows() -> Iterator[pa.RecordBatch]:
+            if found:
+                cols = zip(*report(found))
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.float64()))], [c.split()[0] for c in _CELL.split(", ")])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, held = None, {}
-        for b in batches:
-            out = []
-            for cell, kind, x, y, blob in zip(*(b.column(i).to_pylist() for i in range(5))):
+        for batch in batches:
+            for cell, kind, x, y, blob in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 if cell != here:
-                    here, held = cell, {}
+                    yield from rows()
+                    here, held, found = cell, {}, []
                 if kind == 0:
-                    held[x] = load(blob)
-                elif x in held and y in held:
-                    found = agree(held[x], held[y])
-                    if found is not None:
-                        out.append((x, y, found))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out), (pa.int64(), pa.int64(), pa.float64()))], ["a", "b", "jaccard"])
+                    held[x] = load(blob), y
+                elif x in held and y in held and (value := agree(held[x][0], held[y][0])) is not None:
+                    found.append((x, y, held[x][1], held[y][1], value))
+        yield from rows()
 
     return run
 
 
 def _bound(t: float):  # noqa: ANN202
-    """The suffix filter: Jaccard similarity at most, of the pairs whose histograms allow t."""
+    """The suffix filter: the pairs whose histograms allow t."""
 
     def load(blob: bytes) -> tuple[np.ndarray, int] | None:
         if not blob:
@@ -259,12 +283,9 @@ def _bound(t: float):  # noqa: ANN202
         return counts, int(counts.sum())
 
     def agree(x: tuple[np.ndarray, int] | None, y: tuple[np.ndarray, int] | None) -> float | None:
-        if x is None or y is None:
-            return 1.0
-        both, n = most_common(x[0], y[0]), x[1] + y[1]
-        return both / (n - both) if both >= needed(x[1], y[1], t) else None
+        return 1.0 if x is None or y is None or most_common(x[0], y[0]) >= needed(x[1], y[1], t) else None
 
-    return _in_cells(load, agree)
+    return _in_cells(load, agree, lambda found: [(1, x, y, None, value) for x, y, _, _, value in found])
 
 
 def _verify(t: float):  # noqa: ANN202
@@ -272,94 +293,123 @@ def _verify(t: float):  # noqa: ANN202
         common = int((q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p).sum())
         return common / (len(p) + len(q) - common) if common >= needed(len(p), len(q), t) else None
 
-    return _in_cells(lambda blob: np.frombuffer(blob, U64), agree)
+    def report(found: list[tuple[int, int, int, int, float]]) -> Iterator[tuple]:
+        links: dict[int, int] = {}
+        best: dict[int, float] = {}
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while root.setdefault(x, x) != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        for x, y, mx, my, value in found:
+            for node, more in ((x, my), (y, mx)):
+                links[node] = links.get(node, 0) + more
+                best[node] = max(best.get(node, 0.0), value)
+            if (p := find(x)) != (q := find(y)):
+                root[max(p, q)] = min(p, q)
+                yield 1, x, y, None, value
+        for node, n in links.items():
+            yield 0, node, None, n, best[node]
+
+    def load(blob: bytes) -> np.ndarray:
+        return np.cumsum(unpacked(blob[4:], (int.from_bytes(blob[:4], "little"), "<u8"))[0])
+
+    return _in_cells(load, agree, report)
 
 
-def _in_place(pairs: DataFrame, name: str) -> DataFrame:
-    """(cell, a, b) of the pairs: a neighbourhood's pairs share a cell, or the cells of a grid of nodes a and b."""
-    ends = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    places = ends.groupBy("a").agg(F.min("b").alias("least")).select("a", F.least("a", "least").alias("place"))
-    placed = cut(pairs.join(places, "a").select("place", "a", "b"), f"{name}-places")
-    sides = [placed.groupBy("place", x).agg(F.lit(1)).groupBy("place").agg(F.ceil(F.count("*") / F.lit(CELL)).alias("n" + x)) for x in "ab"]
-    grid = sides[0].join(sides[1], "place").filter("na > 1 OR nb > 1")
+def _sets(n: int):  # noqa: ANN202
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in chunks(batch, "text"):
+                blobs = [len(s).to_bytes(4, "little") + packed(np.diff(s, prepend=U64(0))) for s in gram_sets(b.column("text"), n)]
+                yield pa.RecordBatch.from_arrays([b.column("cell"), b.column("node"), b.column("members"), pa.array(blobs, pa.binary())], ["cell", "node", "members", "blob"])
+
+    return run
+
+
+def _placed(pairs: DataFrame, hops: int, name: str) -> DataFrame:
+    """(cell, a, b) of the pairs, written: a neighbourhood's pairs share a cell, or the cells of a grid of nodes a and b.
+
+    A neighbourhood is what has the same smallest node within so many hops.
+    """
+    ends = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    place = ends.groupBy("a").agg(F.min("b").alias("least")).select("a", F.least("a", "least").alias("place"))
+    for _ in range(hops - 1):
+        near = place.select(F.col("a").alias("b"), "place")
+        place = ends.join(near, "b").select("a", "place").unionByName(place).groupBy("a").agg(F.min("place").alias("place"))
+    placed = cut(pairs.select("a", "b").join(place, "a").select("place", "a", "b"), f"{name}-places")
+    many = placed.groupBy("place").count().filter(F.col("count") > CELL).select("place")
+    if many.isEmpty():
+        out = placed.withColumnRenamed("place", "cell")
+        out._cut_path = placed._cut_path
+        return out
+    side = lambda x: F.ceil(F.approx_count_distinct(x) / F.lit(CELL)).alias("n" + x)
+    grid = cut(placed.join(many, "place", "left_semi").groupBy("place").agg(side("a"), side("b")).filter("na > 1 OR nb > 1"), f"{name}-grid")
     cell = F.when(F.col("na").isNull(), F.col("place")).otherwise(F.xxhash64("place", F.pmod(F.xxhash64("a"), "na"), F.pmod(F.xxhash64("b"), "nb")))
-    return cut(placed.join(maybe_broadcast(cut(grid, f"{name}-grid")), "place", "left").select(cell.alias("cell"), "a", "b"), f"{name}-cells")
+    out = cut(placed.join(maybe_broadcast(grid), "place", "left").select(cell.alias("cell"), "a", "b"), f"{name}-cells")
+    discard(placed, grid)
+    return out
 
 
 def _members(placed: DataFrame) -> DataFrame:
     return placed.select("cell", F.col("a").alias("node")).unionByName(placed.select("cell", F.col("b").alias("node"))).distinct()
 
 
-def _meet(sent: DataFrame, placed: DataFrame, buckets: int, run) -> DataFrame:  # noqa: ANN001
-    """run over the cells of both: sent has (cell, node, blob), placed (cell, a, b)."""
-    none = F.lit(None)
-    both = sent.select("cell", F.lit(0).alias("kind"), F.col("node").alias("a"), none.cast("long").alias("b"), "blob").unionByName(placed.select("cell", F.lit(1).alias("kind"), "a", "b", none.cast("binary").alias("blob")))
-    return both.repartition(buckets, "cell").sortWithinPartitions("cell", "kind").mapInArrow(released(run), "a long, b long, jaccard double")
+def _meet(sent: DataFrame, placed: DataFrame, run) -> DataFrame:  # noqa: ANN001
+    """run over the cells of both: sent has (cell, node, members, blob), placed (cell, a, b)."""
+    both = sent.select("cell", F.lit(0).alias("kind"), F.col("node").alias("a"), F.col("members").alias("b"), "blob").unionByName(placed.select("cell", F.lit(1).alias("kind"), "a", "b", F.lit(None).cast("binary").alias("blob")))
+    return both.repartition(partitions(sent.sparkSession), "cell").sortWithinPartitions("cell", "kind").mapInArrow(released(run), _CELL)
 
 
 def _ready(docs: DataFrame) -> DataFrame:
-    return docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).withColumn("mark", F.xxhash64("text"))
+    return docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("mark", F.xxhash64("text"))
+
 
+def similar(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents, leads, found), all written.
 
-def similar(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """(nodes, pairs): (node, id, mark, n) of every document with grams, and (a, b, jaccard) of the nodes that agree."""
+    documents: (node, id, mark, n) of every row with an id; leads: (node, lead_id, lead_mark, members) of each node with
+    grams; found: of the pairs that agree, (kind 0, a, links, jaccard) in parts for each node and (kind 1, a, b,
+    jaccard) of pairs that connect the same nodes as all pairs do.
+    """
     spark = docs.sparkSession
-    todo, buckets = _ready(docs), partitions(spark)
+    todo = _ready(docs)
     first = cut(todo.select("id", "mark", "text").mapInArrow(released(_first_pass(n)), _FIRST), "grams")
-    nodes = first.filter("kind = 0 AND n > 0").select("node", "id", "mark", "n")
+    every = first.filter("kind = 0").select("node", "id", "mark", "n")
+    live = first.filter("kind = 0 AND n > 0")
     common = np.zeros(CELLS, np.uint8)
-    for r in first.filter("kind = 1").select("slice", "n", "counts").repartition(SLICES, "slice").mapInArrow(released(_merge_counts), "slice int, common binary").collect():
-        part = np.frombuffer(r["common"], np.uint8)
-        common[r["slice"] * len(part) : (r["slice"] + 1) * len(part)] = part
+    size = CELLS // SLICES
+    for r in first.filter("kind = 1").select("slice", "counts").repartition(SLICES, "slice").mapInArrow(released(_merge_counts), "slice int, common binary").collect():
+        common[r["slice"] * size : (r["slice"] + 1) * size] = unpacked(bytes(r["common"]), (size, "u1"))[0]
     order = spark.sparkContext.broadcast(common)
+    entries = live.agg(F.sum(F.col("n") - F.ceil(F.lit(t) * F.col("n") - F.lit(_EPS)) + 1)).first()[0] or 0
+    buckets = max(1, -(-int(entries) // BUCKET_ENTRIES))
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _second_pass(order.value, n, t, buckets)(batches)
 
-    met = todo.select("text").mapInArrow(released(second), "bucket int, blob binary").repartition(buckets, "bucket").mapInArrow(released(_pairs(t)), _PAIR)
-    summed = met.groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
-    bound = F.col("c") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
-    far = (F.col("pa") >= _FAR) | (F.col("pb") >= _FAR)
-    candidates = cut(summed.filter(far | (bound >= F.ceil(F.lit(t / (1 + t)) * (F.col("na") + F.col("nb")) - F.lit(_EPS)))).select("a", "b"), "candidates")
-    lead = first.filter("kind = 0 AND n > 0").groupBy("node").agg(F.min(F.struct("id", "mark")).alias("lead"), F.first("counts").alias("blob"))
-    placed = _in_place(candidates, "candidates")
-    survivors = cut(_meet(_members(placed).join(lead.select("node", "blob"), "node"), placed, buckets, _bound(t)).select("a", "b"), "survivors")
-    placed = _in_place(survivors, "survivors")
-    wanted = cut(_members(placed).join(lead.select("node", "lead.id", "lead.mark"), "node"), "wanted")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for b in chunks(batch, "text"):
-                yield pa.RecordBatch.from_arrays([b.column("cell"), b.column("node"), pa.array([s.tobytes() for s in gram_sets(b.column("text"), n)], pa.binary())], ["cell", "node", "blob"])
-
-    sent = todo.join(maybe_broadcast(wanted), ["id", "mark"]).select("cell", "node", "text").mapInArrow(released(sets), "cell long, node long, blob binary")
-    return nodes, _meet(sent, placed, buckets, _verify(t))
-
-
-def _leads(nodes: DataFrame) -> DataFrame:
-    return nodes.groupBy("node").agg(F.min("id").alias("lead"))
-
-
-def jaccard_pairs(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> DataFrame:
-    """(id_a, id_b, jaccard): the pairs with a similarity of t at least, id_a < id_b.
-
-    Documents with equal sets are one class, led by its smallest doc_id. Pairs hold between leaders, and each other
-    member is paired with its leader at 1.0; two members are as similar as their leaders, so these rows
-    give every pair, without the square of a large class. A text of fewer than n words has one gram, all its
-    words. Texts without words, empty ones and nulls have no grams and no pairs, nor have rows with a null
-    doc_id; repeated rows of one id pair with others, not with each other. An empty table gives no rows,
-    other columns are ignored.
-    """
-    nodes, pairs = similar(docs, n, t)
-    lead = cut(_leads(nodes), "leads")
-    a, b = lead.select(F.col("node").alias("a"), F.col("lead").alias("la")), lead.select(F.col("node").alias("b"), F.col("lead").alias("lb"))
-    across = pairs.join(a, "a").join(b, "b").filter("la <> lb").select(F.least("la", "lb").alias("id_a"), F.greatest("la", "lb").alias("id_b"), "jaccard")
-    inside = nodes.join(lead, "node").filter("id > lead").select(F.col("lead").alias("id_a"), F.col("id").alias("id_b"), F.lit(1.0).alias("jaccard")).distinct()
-    return across.groupBy("id_a", "id_b").agg(F.max("jaccard").alias("jaccard")).unionByName(inside)
+    sent = todo.select("text").mapInArrow(released(second), "bucket int, nodes int, entries int, blob binary").repartitionById(buckets, "bucket")
+    candidates = cut(sent.mapInArrow(released(_pairs(t, buckets)), "a long, b long").distinct(), "candidates")
+    order.unpersist()
+    once = live.groupBy("node").agg(F.min(F.struct("id", "mark")).alias("lead"), F.first("counts").alias("blob"))
+    members = live.select("node", "id").distinct().groupBy("node").agg(F.count("*").alias("members"))
+    leads = cut(once.join(members, "node").select("node", F.col("lead.id").alias("lead_id"), F.col("lead.mark").alias("lead_mark"), "members", "blob"), "leads")
+    placed = _placed(candidates, 1, "candidates")
+    survivors = cut(_meet(_members(placed).join(leads.select("node", "members", "blob"), "node"), placed, _bound(t)).select("a", "b"), "survivors")
+    discard(candidates, placed)
+    placed = _placed(survivors, 2, "survivors")
+    wanted = cut(_members(placed).join(leads.select("node", "lead_id", "lead_mark", "members"), "node"), "wanted")
+    mine = todo.join(maybe_broadcast(wanted), (F.col("id") == F.col("lead_id")) & (F.col("mark") == F.col("lead_mark")))
+    sets = mine.select("cell", "node", "members", "text").mapInArrow(released(_sets(n)), "cell long, node long, members long, blob binary")
+    found = cut(_meet(sets, placed, _verify(t)), "found")
+    discard(survivors, placed, wanted)
+    return every, leads.drop("blob"), found
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(id, root): root is the smallest id of the component of each end of the edges (x, y).
+    """(id, root), written: root is the smallest id of the component of each end of the edges (x, y).
 
     Alternating star operations: every vertex ties its larger neighbours, then its smaller ones, to the
     smallest it knows, until nothing changes.
@@ -372,22 +422,51 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.filter("y > x").join(least, "x").select(F.col("y").alias("x"), F.col("m").alias("y")).distinct()
         least = large.groupBy("x").agg(F.min("y").alias("m"))
         small = large.join(least, "x").select(F.col("y").alias("x"), F.col("m").alias("y")).filter("x <> y").unionByName(least.select("x", F.col("m").alias("y"))).distinct()
-        now = cut(small, "edges")
+        before, now = now, cut(small, "edges")
+        discard(before)
         then, state = state, tuple(now.agg(F.count("*"), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)"))).first())
         if then == state:
             return now.select(F.col("x").alias("id"), F.col("y").alias("root"))
 
 
+def _classes(leads: DataFrame, found: DataFrame) -> DataFrame:
+    """(node, class_id, class_mark): the smallest (id, mark) of the component of each node that has a link."""
+    ends = components(found.filter("kind = 1").select(F.col("a").alias("x"), F.col("b").alias("y")))
+    ends = ends.unionByName(ends.select(F.col("root").alias("id"), "root")).distinct().withColumnRenamed("id", "node")
+    known = cut(ends.join(leads, "node").select("node", "root", F.struct("lead_id", "lead_mark").alias("lead")), "components")
+    least = known.groupBy("root").agg(F.min("lead").alias("least"))
+    return known.join(least, "root").select("node", F.col("least.lead_id").alias("class_id"), F.col("least.lead_mark").alias("class_mark"))
+
+
+def jaccard_classes(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> DataFrame:
+    """(doc_id, class_id, n_links, nearest): every document's class of near copies and number of links in it.
+
+    A link is a pair of documents whose sets agree to t. class_id is the smallest doc_id of what links connect; nearest
+    is the document's highest similarity to another one, null without a link. All pairs are found and counted, a class's
+    are not listed. A text of fewer than n words has one gram, all its words. Texts without words, empty ones
+    and nulls have no grams: they are classes of their own, without links. Rows that repeat a doc_id and set are
+    one document; a doc_id with several sets is several documents, a row each. Rows without doc_id are left
+    out. Texts are taken whole, whatever their length. There are no ties: class_id is unique, nearest a
+    maximum. An empty table gives no rows, other columns are ignored.
+    """
+    every, leads, found = similar(docs, n, t)
+    stats = found.filter("kind = 0").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"), F.max("jaccard").alias("best"))
+    known = leads.join(stats, "node", "left").join(_classes(leads, found).select("node", "class_id"), "node", "left")
+    nearest = F.when(F.col("members") > 1, F.lit(1.0)).otherwise(F.col("best"))
+    known = known.select("node", F.coalesce("class_id", "lead_id").alias("class_id"), (F.col("members") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), nearest.alias("nearest"))
+    with_grams = every.filter("n > 0").select("node", "id").distinct().join(known, "node").select(F.col("id").alias("doc_id"), "class_id", "n_links", "nearest")
+    without = every.filter("n = 0").select(F.col("id").alias("doc_id")).distinct()
+    return with_grams.unionByName(without.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("double").alias("nearest")))
+
+
 def drop_near_duplicates(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> DataFrame:
-    """docs with one document of each group, the one with the smallest doc_id, all columns kept.
+    """docs with one document of each class of jaccard_classes, the one with the smallest doc_id, all columns kept.
 
-    Groups are the connected components of the pairs; rows that repeat doc_id and text count as one document.
-    Rows without words, text or doc_id belong to no group and stay.
+    Rows that repeat doc_id and text count as one document, of a doc_id's several texts in one class one stays.
+    Rows without words, text or doc_id belong to no class and stay. Very long texts are taken whole, an
+    empty table gives an empty table.
     """
-    nodes, pairs = similar(docs, n, t)
-    lead = cut(_leads(nodes), "leads")
-    a, b = lead.select(F.col("node").alias("a"), F.col("lead").alias("x")), lead.select(F.col("node").alias("b"), F.col("lead").alias("y"))
-    roots = components(pairs.join(a, "a").join(b, "b").select("x", "y"))
-    roots = roots.withColumnRenamed("id", "lead")
-    member = nodes.join(lead, "node").join(roots, "lead", "left").select("id", "mark", F.coalesce("root", "lead").alias("root"))
-    return remove_rows(docs, cut(member.groupBy("id", "mark").agg(F.min("root").alias("root"), F.count("*").alias("copies")), "members"), "id <> root")
+    every, leads, found = similar(docs, n, t)
+    keep = leads.join(_classes(leads, found), "node", "left").select("node", F.coalesce("class_id", "lead_id").alias("keep_id"), F.when(F.col("class_id").isNull(), F.col("lead_mark")).otherwise(F.col("class_mark")).alias("keep_mark"))
+    member = every.filter("n > 0").join(keep, "node").groupBy("id", "mark").agg(F.count("*").alias("copies"), F.bool_or(F.expr("id = keep_id AND mark = keep_mark")).alias("kept"))
+    return remove_rows(docs, cut(member, "members"), "NOT kept")

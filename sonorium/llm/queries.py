@@ -20,7 +20,7 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op2_ngram_join.jaccard_pairs(read(spark, sf_dir, "documents"))
+    return op2_ngram_join.jaccard_classes(read(spark, sf_dir, "documents"))
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -74,12 +74,16 @@ FROM s GROUP BY doc_id
 
 
 OP2_NGRAM_JOIN = f"""
-WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
-s AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) < 2 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END)) AS grams FROM d WHERE len(w) > 0),
-l AS (SELECT doc_id, grams, min(doc_id) OVER (PARTITION BY grams) AS lead FROM s),
-r AS (SELECT DISTINCT lead AS id, grams, len(grams) AS n FROM l),
-g AS (SELECT id, n, unnest(grams) AS gram FROM r),
-p AS (SELECT a.id AS id_a, b.id AS id_b, count(*)::DOUBLE / (any_value(a.n) + any_value(b.n) - count(*)) AS jaccard FROM g a JOIN g b ON a.gram = b.gram AND a.id < b.id GROUP BY a.id, b.id)
-SELECT id_a, id_b, jaccard FROM p WHERE jaccard >= 0.55 - 1e-9
-UNION ALL SELECT DISTINCT lead, doc_id, 1.0 FROM l WHERE doc_id > lead
+WITH RECURSIVE d AS (SELECT doc_id, {WORDS} AS w FROM documents WHERE doc_id IS NOT NULL),
+m AS (SELECT DISTINCT doc_id, list_sort(list_distinct(CASE WHEN len(w) < 2 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END)) AS grams FROM d WHERE len(w) > 0),
+c AS (SELECT row_number() OVER () AS node, grams, len(grams) AS n, min(doc_id) AS lead, count(*) AS members FROM m GROUP BY grams),
+g AS (SELECT node, n, unnest(grams) AS gram FROM c),
+p AS (SELECT a.node AS x, b.node AS y, count(*)::DOUBLE / (any_value(a.n) + any_value(b.n) - count(*)) AS jaccard FROM g a JOIN g b ON a.gram = b.gram AND a.node < b.node GROUP BY a.node, b.node),
+e AS (SELECT x, y, jaccard FROM p WHERE jaccard >= 0.55 - 1e-9 UNION ALL SELECT y, x, jaccard FROM p WHERE jaccard >= 0.55 - 1e-9),
+reach(node, other) AS (SELECT node, node FROM c UNION SELECT r.node, e.y FROM reach r JOIN e ON r.other = e.x),
+class AS (SELECT r.node, min(c.lead) AS class_id FROM reach r JOIN c ON r.other = c.node GROUP BY r.node),
+links AS (SELECT e.x AS node, sum(c.members) AS links, max(e.jaccard) AS best FROM e JOIN c ON e.y = c.node GROUP BY e.x)
+SELECT m.doc_id, class.class_id, (c.members - 1 + coalesce(links.links, 0))::BIGINT AS n_links, CASE WHEN c.members > 1 THEN 1.0::DOUBLE ELSE links.best END AS nearest
+FROM m JOIN c ON m.grams = c.grams JOIN class ON class.node = c.node LEFT JOIN links ON links.node = c.node
+UNION ALL SELECT DISTINCT doc_id, doc_id, 0::BIGINT, NULL::DOUBLE FROM d WHERE len(w) = 0
 """

@@ -103,22 +103,67 @@ def brute_pairs(rows, n=op2.N, t=op2.THRESHOLD):  # noqa: ANN001, ANN201
     return out
 
 
-@pytest.mark.parametrize(("n", "t"), [(op2.N, op2.THRESHOLD), (3, 0.3), (1, 0.9)])
-def test_jaccard_pairs(spark, n, t):
+def brute_classes(rows, n=op2.N, t=op2.THRESHOLD):  # noqa: ANN001, ANN201
+    """(doc_id, class_id, n_links, nearest) of every document, from all pairs of documents."""
+    docs = sorted({(i, grams(text or "", n)) for i, text, _ in rows if i is not None}, key=lambda d: (d[0], sorted(d[1])))
+    root, links, best = list(range(len(docs))), [0] * len(docs), [None] * len(docs)
+
+    def find(x):  # noqa: ANN001, ANN202
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, (_, x) in enumerate(docs):
+        for j in range(i + 1, len(docs)):
+            y = docs[j][1]
+            if x and y and (jac := len(x & y) / len(x | y)) >= t - 1e-9:
+                for k in (i, j):
+                    links[k] += 1
+                    best[k] = max(best[k] or 0, jac)
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return Counter((d[0], docs[find(k)][0], links[k], best[k] and round(best[k], 9)) for k, d in enumerate(docs))
+
+
+def found_classes(docs, *args):  # noqa: ANN001, ANN002, ANN201
+    return Counter((r["doc_id"], r["class_id"], r["n_links"], r["nearest"] and round(r["nearest"], 9)) for r in op2.jaccard_classes(docs, *args).collect())
+
+
+@pytest.mark.parametrize(("n", "t", "entries"), [(op2.N, op2.THRESHOLD, op2.BUCKET_ENTRIES), (3, 0.3, 500), (1, 0.9, 50), (2, 0.55, 100)])
+def test_jaccard_classes(spark, monkeypatch, n, t, entries):
+    monkeypatch.setattr(op2, "BUCKET_ENTRIES", entries)
     rows = awkward(40)
     rows += [(1000 + k, " ".join(f"z{j}" for j in range(60) if j % 17 != k % 17 and (k * 5 + j) % 23), "s") for k in range(60)]
-    got = {(r["id_a"], r["id_b"]): r["jaccard"] for r in op2.jaccard_pairs(table(spark, rows, 4), n, t).collect()}
-    want = brute_pairs(rows, n, t)
-    assert got.keys() == want.keys()
-    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    rows += [(7, "another text under an id that has one", "s"), (8, rows[9][1], "s")]
+    assert found_classes(table(spark, rows, 4), n, t) == brute_classes(rows, n, t)
 
 
 def test_jaccard_of_large_neighbourhoods(spark, monkeypatch):
-    """Lists and cells that are split give the same pairs."""
+    """Cells that are split count the same links."""
     monkeypatch.setattr(op2, "CELL", 4)
     rows = [(k, " ".join(f"z{j}" for j in range(50) if j != k % 50 and j != k // 2), "s") for k in range(60)]
-    got = {(r["id_a"], r["id_b"]) for r in op2.jaccard_pairs(table(spark, rows)).collect()}
-    assert got == brute_pairs(rows).keys()
+    assert found_classes(table(spark, rows)) == brute_classes(rows)
+
+
+def test_buckets_report_every_similar_pair():
+    """Over many buckets, each pair that agrees is reported once at least, and by one bucket if it shares a mark."""
+    rnd = np.random.default_rng(9)
+    base = [np.unique(rnd.integers(0, 1 << 56, 60, dtype=np.uint64)) for _ in range(12)]
+    sets = [np.unique(np.concatenate([s[rnd.random(len(s)) < 0.9], rnd.integers(0, 1 << 56, 4, dtype=np.uint64)])) for s in base for _ in range(8)]
+    text = pa.RecordBatch.from_arrays([pa.array([" ".join(f"g{x}" for x in s) for s in sets], pa.large_string())], ["text"])
+    real = op2.gram_sets(text.column("text"), 1)
+    common = np.zeros(op2.CELLS, np.uint8)
+    for buckets in (1, 7, 60):
+        blobs = defaultdict(list)
+        for b in op2._second_pass(common, 1, 0.55, buckets)(iter([text, text])):
+            blobs[b.column("bucket")[0].as_py()].append(tuple(b.column(i)[0].as_py() for i in (1, 2, 3)))
+        found = Counter()
+        for k, x in blobs.items():
+            found.update(zip(*(y.tolist() for y in op2.bucket_pairs(x, 0.55, k, buckets))))
+        nodes = [op2.digest(s) for s in real]
+        want = {(min(nodes[i], nodes[j]), max(nodes[i], nodes[j])) for i in range(len(real)) for j in range(i) if len(np.intersect1d(real[i], real[j])) / len(np.union1d(real[i], real[j])) >= 0.55}
+        assert want and want <= found.keys()
+        assert buckets == 1 or sum(found[p] for p in want) < 4 * len(want)
 
 
 def test_drop_near_duplicates(spark):
@@ -139,7 +184,7 @@ def test_drop_near_duplicates(spark):
     got = [(r["doc_id"], r["text"]) for r in kept.collect()]
     assert set(got) == want and kept.columns == docs.columns
     assert len([g for g in got if g[0] == 0]) == 1  # a repeated row stays once
-    assert op2.drop_near_duplicates(docs.limit(0)).count() == 0 and op2.jaccard_pairs(docs.limit(0)).count() == 0
+    assert op2.drop_near_duplicates(docs.limit(0)).count() == 0 and op2.jaccard_classes(docs.limit(0)).count() == 0
 
 
 def test_prefix_and_suffix_filters_are_safe():
