@@ -6,6 +6,7 @@ import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,11 +38,24 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """While it holds, shuffle files go as soon as the query that made them has ended."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write df once to the shared folder and read it back: short lineage that outlives executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with tidy(spark):
+        df.write.parquet(path)
     found = spark.read.schema(df.schema).parquet(path)
     found._cut_path = path
     return found

@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, discard, maybe_broadcast, partitions, released, remove_rows
+from .common import cut, discard, maybe_broadcast, partitions, released, remove_rows, tidy
 from .textops import U64, chunks, gram_sets, mix
 
 N, THRESHOLD = 2, 0.55
@@ -377,14 +377,21 @@ def similar(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> tuple[DataFram
     spark = docs.sparkSession
     todo = _ready(docs)
     first = cut(todo.select("id", "mark", "text").mapInArrow(released(_first_pass(n)), _FIRST), "grams")
-    every = first.filter("kind = 0").select("node", "id", "mark", "n")
+    every = cut(first.filter("kind = 0").select("node", "id", "mark", "n"), "documents")
     live = first.filter("kind = 0 AND n > 0")
     common = np.zeros(CELLS, np.uint8)
     size = CELLS // SLICES
-    for r in first.filter("kind = 1").select("slice", "counts").repartition(SLICES, "slice").mapInArrow(released(_merge_counts), "slice int, common binary").collect():
+    merged = first.filter("kind = 1").select("slice", "counts").repartition(SLICES, "slice").mapInArrow(released(_merge_counts), "slice int, common binary")
+    with tidy(spark):
+        slices = merged.collect()
+    for r in slices:
         common[r["slice"] * size : (r["slice"] + 1) * size] = unpacked(bytes(r["common"]), (size, "u1"))[0]
     order = spark.sparkContext.broadcast(common)
     entries = live.agg(F.sum(F.col("n") - F.ceil(F.lit(t) * F.col("n") - F.lit(_EPS)) + 1)).first()[0] or 0
+    once = live.groupBy("node").agg(F.min(F.struct("id", "mark")).alias("lead"), F.first("counts").alias("blob"))
+    members = live.select("node", "id").distinct().groupBy("node").agg(F.count("*").alias("members"))
+    leads = cut(once.join(members, "node").select("node", F.col("lead.id").alias("lead_id"), F.col("lead.mark").alias("lead_mark"), "members", "blob"), "leads")
+    discard(first)
     buckets = max(1, -(-int(entries) // BUCKET_ENTRIES))
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -393,9 +400,6 @@ def similar(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> tuple[DataFram
     sent = todo.select("text").mapInArrow(released(second), "bucket int, nodes int, entries int, blob binary").repartitionById(buckets, "bucket")
     candidates = cut(sent.mapInArrow(released(_pairs(t, buckets)), "a long, b long").distinct(), "candidates")
     order.unpersist()
-    once = live.groupBy("node").agg(F.min(F.struct("id", "mark")).alias("lead"), F.first("counts").alias("blob"))
-    members = live.select("node", "id").distinct().groupBy("node").agg(F.count("*").alias("members"))
-    leads = cut(once.join(members, "node").select("node", F.col("lead.id").alias("lead_id"), F.col("lead.mark").alias("lead_mark"), "members", "blob"), "leads")
     placed = _placed(candidates, 1, "candidates")
     survivors = cut(_meet(_members(placed).join(leads.select("node", "members", "blob"), "node"), placed, _bound(t)).select("a", "b"), "survivors")
     discard(candidates, placed)
