@@ -37,7 +37,7 @@ CELLS, SLICES = 1 << 24, 64
 #: Grams of a prefix that a node carries with it.
 MARKS = 2
 #: Prefix entries of a bucket, and of a flush of a partition's prefixes.
-BUCKET_ENTRIES, _FLUSH = 2_000_000, 1_000_000
+BUCKET_ENTRIES, _FLUSH = 3_000_000, 1_000_000
 #: Nodes of either side that a cell of a large neighbourhood holds.
 CELL = 4096
 _EPS = 1e-9
@@ -386,7 +386,7 @@ def similar(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> tuple[DataFram
         slices = merged.collect()
     for r in slices:
         common[r["slice"] * size : (r["slice"] + 1) * size] = unpacked(bytes(r["common"]), (size, "u1"))[0]
-    order = spark.sparkContext.broadcast(common)
+    order = spark.sparkContext.broadcast(packed(common))  # CELLS bytes at most, whatever the data
     entries = live.agg(F.sum(F.col("n") - F.ceil(F.lit(t) * F.col("n") - F.lit(_EPS)) + 1)).first()[0] or 0
     once = live.groupBy("node").agg(F.min(F.struct("id", "mark")).alias("lead"), F.first("counts").alias("blob"))
     members = live.select("node", "id").distinct().groupBy("node").agg(F.count("*").alias("members"))
@@ -395,7 +395,7 @@ def similar(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> tuple[DataFram
     buckets = max(1, -(-int(entries) // BUCKET_ENTRIES))
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _second_pass(order.value, n, t, buckets)(batches)
+        yield from _second_pass(unpacked(order.value, (CELLS, "u1"))[0], n, t, buckets)(batches)
 
     sent = todo.select("text").mapInArrow(released(second), "bucket int, nodes int, entries int, blob binary").repartitionById(buckets, "bucket")
     candidates = cut(sent.mapInArrow(released(_pairs(t, buckets)), "a long, b long").distinct(), "candidates")
