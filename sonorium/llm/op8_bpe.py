@@ -178,7 +178,7 @@ def read_ranks(path: str = VOCABULARY) -> dict[bytes, int]:
 class Codec:
     """Encodes and decodes whole batches; remembers the slices it has merged, up to KNOWN of them."""
 
-    KNOWN = 600_000
+    KNOWN = 300_000
     #: Longest slice that is merged side by side with others; longer ones are merged alone with a heap.
     WIDE = 32
 
@@ -195,9 +195,9 @@ class Codec:
         self.size = size
         joins = sorted((a * size + b, r) for t, r in ranks.items() for i in range(1, len(t)) if (a := ranks.get(t[:i])) is not None and (b := ranks.get(t[i:])) is not None)
         self.pairs, self.joined = np.array([k for k, _ in joins], np.int64), np.array([r for _, r in joins], np.int64)
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.known: dict[int, int] = {}  # hash of a slice -> where its tokens are in the store, after their number
         self.store = array("i")
 
@@ -273,7 +273,7 @@ class Codec:
         hashes = mix((sums[end] - sums[start]) * down[start] + (end - start).astype(U64))
         distinct, at, which = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.known) > self.KNOWN:
-            self._forget()
+            self.forget()
         keys = distinct.tolist()
         new = np.array([i for i, h in enumerate(keys) if h not in self.known], np.int64)
         if len(new):
@@ -304,23 +304,38 @@ _CODECS: dict[str, Codec] = {}
 
 
 def codec(path: str, ranks: dict[bytes, int] | None = None) -> Codec:
-    """The process's codec of a vocabulary, kept between tasks with the slices it knows."""
+    """The process's codec of a vocabulary, kept between tasks."""
     if path not in _CODECS:
         _CODECS.clear()
         _CODECS[path] = Codec(ranks or read_ranks(path))
     return _CODECS[path]
 
 
+def _exactly(machine: Codec, text: bytes) -> list[int]:
+    """The tokens of a text by merging each of its slices, without the slices' hashes."""
+    buf = np.frombuffer(text, np.uint8)
+    start = slices(buf, np.array([0, len(buf)])).tolist()
+    return [t for a, b in zip(start, [*start[1:], len(text)]) for t in merge(text[a:b], machine.ranks)]
+
+
 def encode(docs: DataFrame, path: str = VOCABULARY, columns: list[str] | None = None) -> DataFrame:
     """The chosen columns of docs (doc_id only by default) with n_tokens, tokens, ends and round_trip.
 
     ``ends`` holds the byte offset in the UTF-8 text at which each token ends, ``round_trip`` says that the tokens
-    decode to exactly the text's bytes. Null and empty texts have no tokens (empty arrays; a null text's
-    round_trip is null). Repeated rows are encoded alike, an empty table gives no rows; columns not chosen
-    are ignored. The vocabulary is read on the driver and sent along, a megabyte whatever the data's size.
+    decode to exactly the text's bytes. Slices are known by a 64-bit hash; a text whose tokens don't decode to
+    it is encoded again without hashes. Null and empty texts have no tokens (empty arrays; a null text's round_trip
+    is null), very long ones are encoded whole. Repeated rows are encoded alike, an empty table gives no rows.
+    Columns not chosen are ignored; a result column whose name a chosen one has gets underscores behind it. The
+    vocabulary is read on the driver and sent along, a megabyte whatever the data's size.
     """
     columns = columns or ["doc_id"]
     ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
+    todo = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)], F.col("text").cast("string").alias("text"))
+    names: list[str] = []
+    for name in ("n_tokens", "tokens", "ends", "round_trip"):
+        while name.lower() in {c.lower() for c in [*columns, *names]}:
+            name += "_"
+        names.append(name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = codec(path, ranks.value)
@@ -329,14 +344,24 @@ def encode(docs: DataFrame, path: str = VOCABULARY, columns: list[str] | None =
                 texts = b.column("text")
                 tokens, bound, ends, buf, offsets = machine.encode(texts)
                 same = _same_bytes(machine.decode(tokens), buf, offsets)
+                if not all(same):
+                    each = [tokens[x:y] for x, y in zip(bound[:-1], bound[1:])]
+                    for i in np.flatnonzero(~np.array(same)).tolist():
+                        each[i] = np.array(_exactly(machine, buf[offsets[i] : offsets[i + 1]].tobytes()), np.int64)
+                    tokens = np.concatenate(each).astype(np.int64)
+                    bound = np.concatenate([[0], np.cumsum([len(x) for x in each])])
+                    ends = np.concatenate([np.cumsum(machine.length[x]) for x in each])
+                    same = _same_bytes(machine.decode(tokens), buf, offsets)
                 live = texts.is_valid().to_pylist()
                 lists = [pa.ListArray.from_arrays(pa.array(bound, pa.int32()), pa.array(x, pa.int32())) for x in (tokens, ends)]
                 ok = pa.array([s if v else None for s, v in zip(same, live)], pa.bool_())
-                yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(columns))), pa.array(np.diff(bound), pa.int32()), *lists, ok], [*columns, "n_tokens", "tokens", "ends", "round_trip"])
+                yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(columns))), pa.array(np.diff(bound), pa.int32()), *lists, ok], [*b.schema.names[:-1], *names])
+        machine.forget()  # workers outlive tasks
 
-    todo = docs.select(*[F.col(f"`{c}`") for c in columns], F.col("text").cast("string").alias("text"))
-    kept = ", ".join(f"`{c}` {todo.schema.fields[i].dataType.simpleString()}" for i, c in enumerate(columns))
-    return todo.mapInArrow(released(run), f"{kept}, n_tokens int, tokens array<int>, ends array<int>, round_trip boolean")
+    kept = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(todo.schema.fields[:-1]))
+    made = ", ".join(f"`{n}` {t}" for n, t in zip(names, ("int", "array<int>", "array<int>", "boolean")))
+    out = todo.mapInArrow(released(run), f"{kept}, {made}")
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)], *[F.col(n) for n in names])
 
 
 def _same_bytes(got: np.ndarray, buf: np.ndarray, offsets: np.ndarray) -> list[bool]:
