@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.durations import hms_or_null, year_digits
 from ..functions.values import pending
+from ..shared import written
 
 
 def pending_rows(catalog: DataFrame, flag: str = "downloaded") -> DataFrame:
@@ -102,11 +103,13 @@ def progress_counts(reconciled: DataFrame) -> DataFrame:
 def row_number_by(df: DataFrame, order: str, name: str) -> DataFrame:
     """A global number from 1 in order, without a single-partition window.
 
-    Rows are range-partitioned and sorted; each partition's offset is the count of those before it, a table
-    of one row a partition.
+    Rows are range-partitioned, sorted, numbered inside their partition and written once: a second planning of the
+    same exchange could draw other boundaries. Each partition's offset is the count of those before it, a
+    table of one row a partition.
     """
-    ranged = df.repartitionByRange(F.col(order)).sortWithinPartitions(order).withColumn("_part", F.spark_partition_id())
-    within = ranged.withColumn("_in", F.row_number().over(Window.partitionBy("_part").orderBy(order)))
-    sizes = within.groupBy("_part").agg(F.count("*").alias("_n"))
+    inside = F.shiftrightunsigned("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    ranged = df.repartitionByRange(F.col(order)).sortWithinPartitions(order).withColumn("_at", F.monotonically_increasing_id())
+    ranged = written(ranged, "numbered").withColumn("_part", inside[0]).withColumn("_in", inside[1] + 1).drop("_at")
+    sizes = ranged.groupBy("_part").agg(F.max("_in").alias("_n"))
     before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    return within.join(F.broadcast(before), "_part").withColumn(name, F.col("_in") + F.col("_before")).drop("_part", "_in", "_before")
+    return ranged.join(F.broadcast(before), "_part").withColumn(name, F.col("_in") + F.col("_before")).drop("_part", "_in", "_before")

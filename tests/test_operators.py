@@ -193,3 +193,18 @@ def test_clips(spark):
     got = subtitle.clips(plan, "file", "p", "g", "m", "out")
     assert rows(got, "audio", "id", "duration", "text") == [("out/a_0003.opus", "p-0001", 1.5, "z"), ("out/b_0001.opus", "p-0002", 1.0, "x y")]
     assert list(subtitle.skipped(plan).first()) == [2, 2]
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_global_numbers_of_many_rows(spark, adaptive):
+    """Distinct numbers without gaps in order, with columns that not every branch of the plan needs."""
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        n = 3_000_000
+        rows = spark.range(n).select((F.col("id") * 7919 % n).alias("key"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+        got = cat.row_number_by(rows, "key", "place")
+        bad, distinct, longest = got.agg(F.count_if(F.col("place") != F.col("key") + 1), F.count_distinct("place"), F.max(F.length("text"))).first()
+        assert (bad, distinct, longest) == (0, n, 64)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
