@@ -6,6 +6,7 @@ import threading
 import time
 from collections import deque
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
 from pyspark.sql import Column
@@ -77,19 +78,22 @@ def recognise(call: Callable[[], tuple[int, str]], retries: int = 3, base: float
     return ""
 
 
-def recognise_all(segments: Iterable[T], call: Callable[[T], str], rounds: int = 3, base: float = 0.8, sleep: Callable[[float], None] = time.sleep) -> list[str]:
-    """Texts in the order of the segments: those refused for the rate go another round, what is left is empty."""
+def recognise_all(segments: Iterable[T], call: Callable[[T], str], rounds: int = 3, base: float = 0.8, sleep: Callable[[float], None] = time.sleep, threads: int = 4) -> list[str]:
+    """Texts in the order of the segments, asked for from a pool of threads: those refused for the rate go another round, what is left is empty."""
     segments = list(segments)
     out = [""] * len(segments)
     left = list(range(len(segments)))
     for turn in range(1, rounds + 1):
-        refused = []
-        for i in left:
+
+        def ask(i: int) -> bool:
             try:
                 out[i] = call(segments[i])
             except RateLimited:
-                refused.append(i)
-        left = refused
+                return False
+            return True
+
+        with ThreadPoolExecutor(max(1, threads)) as pool:
+            left = [i for i, told in zip(left, pool.map(ask, left)) if not told]
         if not left or turn == rounds:
             break
         sleep(backoff(turn, base, 15.0))

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import io
 import os
 import shutil
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..schemas import PROBE
+from pyspark.sql.types import StructType
+
+from ..schemas import MANIFEST, PROBE, texts
 from .retry import Limiter, extract, recognise, recognise_all, share
 
 
@@ -71,6 +75,48 @@ class MemoryHub:
         self.files.pop(name, None)
 
 
+@dataclass
+class FolderHub:
+    """Files of a hub kept in a folder."""
+
+    folder: str
+
+    def fetch(self, name: str) -> bytes | None:
+        path = Path(self.folder, name)
+        return path.read_bytes() if path.exists() else None
+
+    def put(self, name: str, data: bytes) -> None:
+        path = Path(self.folder, name)
+        path.parent.mkdir(parents=True, exist_ok=True)
+        aside = path.with_name(f".{path.name}.{os.getpid()}")
+        aside.write_bytes(data)
+        os.replace(aside, path)
+
+    def delete(self, name: str) -> None:
+        Path(self.folder, name).unlink(missing_ok=True)
+
+
+def previous_manifest(spark: SparkSession, hub: Hub, name: str, schema: StructType = MANIFEST) -> DataFrame:
+    """The published manifest, all columns as text; an empty table of that schema's columns if it can't be had or read."""
+    try:
+        frame = pd.read_csv(io.BytesIO(hub.fetch(name) or b""), dtype=str, keep_default_na=False)
+    except Exception:  # noqa: BLE001 - whatever goes wrong, publishing starts from nothing
+        return spark.createDataFrame([], texts(*schema.names))
+    return spark.createDataFrame(frame.values.tolist(), texts(*map(str, frame.columns)))
+
+
+def publish_manifest(manifest: DataFrame, hub: Hub, name: str, obsolete: Iterable[str] = ()) -> int:
+    """Uploads the manifest as one CSV file, then removes obsolete files, missing ones silently. Returns the rows.
+
+    The hub takes a manifest as one file: it is gathered on the driver, a line a published recording.
+    """
+    lines = [list(r) for r in manifest.collect()]
+    hub.put(name, pd.DataFrame(lines, columns=manifest.columns).to_csv(index=False).encode())
+    for other in obsolete:
+        hub.delete(other)
+    return len(lines)
+
+
 def list_ids(api: VideoApi, handle: str, size: int = 50) -> list[str]:
     """All ids of a channel's uploads, page by page, repeats and all; an error if there is no such channel."""
     playlist = api.uploads_playlist(handle)
@@ -125,8 +171,9 @@ def probe(paths: DataFrame, prober: Probe) -> DataFrame:
     return paths.select("path").mapInPandas(run, PROBE)
 
 
-def transcribe(segments: DataFrame, keys: list[str], client: Callable[..., tuple[int, str]], max_rpm: int = 60, tasks: int = 1, retries: int = 3, base: float = 0.8, rounds: int = 3, sleep: Callable[[float], None] | None = None, **options: object) -> DataFrame:
-    """(keys, text): client(row, **options) gives (status, text); tasks share the rate limit evenly.
+def transcribe(segments: DataFrame, keys: list[str], client: Callable[..., tuple[int, str]], max_rpm: int = 60, tasks: int = 1, retries: int = 3, base: float = 0.8, rounds: int = 3, threads: int = 4, sleep: Callable[[float], None] | None = None, **options: object) -> DataFrame:
+    """(keys, text): client(row, **options) gives (status, text); tasks share the rate limit evenly, and each asks from
+    so many threads.
 
     options hold language, system_prompt (None: the default, empty: no message) and the like; ``language="auto"`` is
     left out.
@@ -138,7 +185,7 @@ def transcribe(segments: DataFrame, keys: list[str], client: Callable[..., tuple
         limiter = Limiter(share(max_rpm, tasks))
         for f in frames:
             rows = f.to_dict("records")
-            text = recognise_all(rows, lambda r: recognise(lambda: client(r, **sent), retries, base, limiter, **pause), rounds, base, **pause)
+            text = recognise_all(rows, lambda r: recognise(lambda: client(r, **sent), retries, base, limiter, **pause), rounds, base, threads=threads, **pause)
             yield f[keys].assign(text=text)
 
     schema = segments.select(*keys).schema.add("text", "string")
@@ -162,25 +209,39 @@ def voice_activity(files: DataFrame, detector: Callable[[str], list[tuple[float,
 
 
 def execute(plan: DataFrame, act: Callable[[dict], None], dry_run: bool = True) -> tuple[int, int]:
-    """(done, failed) of a plan's rows, streamed to the driver one partition at a time; a dry run counts only."""
-    done = failed = 0
-    for row in plan.toLocalIterator():
-        try:
-            if not dry_run:
-                act(row.asDict())
-            done += 1
-        except OSError:
-            failed += 1
-    return done, failed
+    """(done, failed) of a plan's rows, acted on by the executors; a dry run counts only.
+
+    A task may run again, so act must take what an earlier run did for done.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            done = failed = 0
+            for row in f.to_dict("records"):
+                try:
+                    if not dry_run:
+                        act(row)
+                    done += 1
+                except OSError:
+                    failed += 1
+            yield pd.DataFrame({"done": [done], "failed": [failed]})
+
+    found = plan.mapInPandas(run, "done long, failed long").agg(F.coalesce(F.sum("done"), F.lit(0)), F.coalesce(F.sum("failed"), F.lit(0))).first()
+    return found[0], found[1]
 
 
 def move(row: dict) -> None:
+    """A file whose target is there and which itself is gone was moved before."""
+    if not os.path.exists(row["path"]) and os.path.exists(row["target"]):
+        return
     Path(row["target"]).parent.mkdir(parents=True, exist_ok=True)
     shutil.move(row["path"], row["target"])
 
 
 def stage(row: dict) -> None:
-    """A hard link, or a copy where links aren't possible."""
+    """A hard link, or a copy where links aren't possible; what is there with the same size stays."""
+    if os.path.exists(row["target"]) and os.path.getsize(row["target"]) == os.path.getsize(row["path"]):
+        return
     Path(row["target"]).parent.mkdir(parents=True, exist_ok=True)
     try:
         os.link(row["path"], row["target"])

@@ -18,9 +18,10 @@ def _int(c: Column) -> Column:
 
 
 def iso_duration(c: Column) -> Column:
-    """PT#H#M#S as HH:MM:SS; anything that doesn't begin with PT is 00:00:00."""
+    """PT#H#M#S as HH:MM:SS; anything that doesn't begin with PT is 00:00:00. A fraction of any part is an error."""
+    whole = F.when(c.startswith("PT") & F.regexp_like(c, F.lit(r"[0-9]*[.,][0-9]+[HMS]")), F.raise_error(F.concat(F.lit("not whole seconds: "), c)).cast("string"))
     part = lambda unit: F.coalesce(F.nullif(F.regexp_extract(c, rf"^PT.*?([0-9]+){unit}", 1), F.lit("")).cast("int"), F.lit(0))
-    return F.when(c.isNotNull(), F.when(c.startswith("PT"), F.format_string("%02d:%02d:%02d", part("H"), part("M"), part("S"))).otherwise("00:00:00"))
+    return F.when(c.isNotNull(), F.coalesce(whole, F.when(c.startswith("PT"), F.format_string("%02d:%02d:%02d", part("H"), part("M"), part("S"))).otherwise("00:00:00")))
 
 
 def hms_or_null(c: Column) -> Column:

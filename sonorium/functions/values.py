@@ -46,6 +46,16 @@ def segment_length(start: Column, end: Column) -> Column:
     return F.greatest(end - start, F.lit(0.0))
 
 
+def segment_length_text(start: Column, end: Column) -> Column:
+    """The length with three decimals, as command lines take it."""
+    return F.format_string("%.3f", segment_length(start, end))
+
+
+def worker_count(jobs: Column, cores: int) -> Column:
+    """Workers for a wish: null and 0 mean all cores; a negative wish is an error."""
+    return F.when(jobs < 0, F.raise_error(F.lit("jobs must not be negative")).cast("int")).when(F.coalesce(jobs, F.lit(0)) == 0, F.lit(cores)).otherwise(jobs.cast("int"))
+
+
 def pending(flag: Column) -> Column:
     """Rows still to download; a blank flag counts as done."""
     return ~F.coalesce(flag, F.lit(True))

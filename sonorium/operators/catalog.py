@@ -100,6 +100,12 @@ def progress_counts(reconciled: DataFrame) -> DataFrame:
     return reconciled.agg(F.count_if("updated").alias("updated"), F.count_if("missing").alias("missing"), F.count_if(F.col("found")).alias("found"))
 
 
+def skip_blank_urls(rows: DataFrame, url: str = "url", completed: str = "completed") -> tuple[DataFrame, DataFrame]:
+    """(rows with completed FALSE where the url is null or blank, one row with the number of these failures)."""
+    blank = F.coalesce(F.trim(F.col(url)), F.lit("")) == ""
+    return rows.withColumn(completed, F.when(blank, "FALSE").otherwise(F.col(completed))), rows.agg(F.count_if(blank).alias("failures"))
+
+
 def row_number_by(df: DataFrame, order: str, name: str) -> DataFrame:
     """A global number from 1 in order, without a single-partition window.
 

@@ -18,6 +18,18 @@ def read(spark: SparkSession, path: str, schema: StructType | None = None) -> Da
     return spark.read.options(**OPTIONS, inferSchema=False).csv(path)
 
 
+def read_typed(spark: SparkSession, path: str, schema: StructType | None = None, nulls: tuple[str, ...] = ("", "NA", "N/A", "NaN", "nan", "NULL", "null", "None", "n/a", "<NA>", "#N/A")) -> DataFrame:
+    """A catalog with typed columns: those of the schema, or inferred from all rows; the null words are null in any column."""
+    text = read(spark, path, schema)
+    text = text.select(*[F.when(~F.col(f"`{c}`").isin(*nulls), F.col(f"`{c}`")).alias(c) for c in text.columns])
+    if schema is None:
+        known = text.agg(*[F.struct(F.coalesce(F.bool_and(F.col(f"`{c}`").try_cast(t).isNotNull() | F.col(f"`{c}`").isNull()), F.lit(False)).alias("ok"), F.count(f"`{c}`").alias("n")).alias(f"{i}_{t}") for i, c in enumerate(text.columns) for t in ("bigint", "double", "boolean")]).first()
+        kinds = [next((t for t in ("bigint", "double", "boolean") if known[f"{i}_{t}"]["ok"] and known[f"{i}_{t}"]["n"]), "string") for i in range(len(text.columns))]
+    else:
+        kinds = [f.dataType for f in schema.fields]
+    return text.select(*[F.col(f"`{c}`").try_cast(t).alias(c) for c, t in zip(text.columns, kinds)])
+
+
 def with_position(df: DataFrame, name: str = "row_index") -> DataFrame:
     """df as read, with the position of its rows from 0. Only right behind a read, ahead of any shuffle.
 
@@ -53,6 +65,14 @@ def backup(df: DataFrame, path: str) -> None:
     write(df, path.rstrip("/") + ".bak", mode="overwrite")
 
 
+def replace_if_changed(df: DataFrame, changed: str, path: str) -> int:
+    """Rows that a column of flags says have changed; the table at path is written anew, without that column, if there are any."""
+    n = df.filter(changed).count()
+    if n:
+        replace(df.drop(changed), path)
+    return n
+
+
 def replace(df: DataFrame, path: str) -> None:
     """Writes next to path and renames: the table being read is never written over."""
     fs_path = df.sparkSession._jvm.org.apache.hadoop.fs.Path

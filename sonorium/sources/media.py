@@ -3,21 +3,28 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.texts import stem
+from ..schemas import FILES, texts
 
 EXTENSIONS = ("mp3", "wav", "opus", "m4a", "mp4", "webm", "flv", "mkv")
 
 
 def files(spark: SparkSession, root: str, glob: str = "*.opus", recursive: bool = True) -> DataFrame:
-    """(path, modificationTime, length, id) of the files below root, or in it; id is the stem. Contents aren't read."""
+    """(path, modificationTime, length, id) of the files below root, or in it; id is the stem. Contents aren't
+    read. Spark's file sources pass over empty files, and so does this."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", str(recursive).lower())
     found = reader.load(root).select(F.regexp_replace("path", "^file:/*", "/").alias("path"), "modificationTime", "length")
     return found.withColumn("id", stem(F.col("path")))
 
 
 def media(spark: SparkSession, root: str) -> DataFrame:
-    """Media files of a folder by extension, in any case."""
-    found = files(spark, root, "*", recursive=False)
-    return found.filter(F.lower("path").rlike(rf"\.({'|'.join(EXTENSIONS)})$"))
+    """Media files of a folder by extension, in any case, in the order of their paths; none if the folder can't be listed."""
+    try:
+        found = files(spark, root, "*", recursive=False)
+    except AnalysisException:
+        return spark.createDataFrame([], StructType([*FILES.fields, *texts("id").fields]))
+    return found.filter(F.lower("path").rlike(rf"\.({'|'.join(EXTENSIONS)})$")).orderBy("path")

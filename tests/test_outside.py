@@ -171,3 +171,32 @@ def test_progress_log(spark, tmp_path):
     query.awaitTermination(120)
     assert {(r["id"], r["completed"]) for r in spark.table("state").collect()} == {("a", "TRUE"), ("b", "TRUE")}
     assert os.path.isdir(tmp_path / "cp")
+
+
+def test_media_services(spark, tmp_path):
+    from sonorium.adapters import media as svc
+
+    assert svc.ToolProbe(("sh", "-c", 'echo "{\\"format\\": {\\"duration\\": \\"2.5\\"}}"')).duration("x") == (True, 2.5, None)
+    assert svc.ToolProbe(("sh", "-c", "echo no")).duration("x") == (True, 0.0, None)
+    assert svc.ToolProbe(("sh", "-c", "echo bad >&2; exit 3")).duration("x") == (False, None, "bad")
+    assert svc.ToolProbe(("no-such-tool",)).duration("x")[0] is False
+    plan = spark.createDataFrame([("a.wav", "c.wav", 0.0, 0.0)], "path string, clip_name string, start double, duration double")
+    with pytest.raises(Exception, match="no duration"):
+        svc.cut_clips(plan, svc.WaveCodec(), str(tmp_path)).collect()
+
+
+def test_guards(spark):
+    from sonorium.functions import durations, values
+
+    one = spark.range(1)
+    with pytest.raises(Exception, match="negative"):
+        one.select(values.worker_count(F.lit(-1), 8)).collect()
+    with pytest.raises(Exception, match="not whole seconds"):
+        one.select(durations.iso_duration(F.lit("PT1.5S"))).collect()
+    assert one.select(durations.iso_duration(F.lit("PT1H2M3S"))).first()[0] == "01:02:03"
+
+
+def test_recognition_keeps_its_order_in_threads():
+    import time
+
+    assert retry.recognise_all(range(20), lambda i: (time.sleep(0.001 * (20 - i)), str(i))[1], threads=8) == [str(i) for i in range(20)]
