@@ -24,7 +24,8 @@ from .textops import chunks
 #: Decades of guesses from which a value counts as a secret.
 SECRET = 8.0
 KEYS = r"passwords?|passwd|pwd|passphrase|secret|token|api[_\-]?key|access[_\-]?key|auth[_\-]?key|private[_\-]?key|credentials?"
-_PREFILTER = rf"(?i)(?:{KEYS})[\"']?\s*[:=]"
+#: Java and Python differ in what white space is, so texts are only asked for the word itself beforehand.
+_PREFILTER = rf"(?iu)(?:{KEYS})"
 #: A quoted value; a mark that a joining operator follows closes a string of source code.
 _QUOTED = r"\"(?!\s+[+.&|]\s)(?P<double>(?:[^\"\\\r\n]|\\.)++)\"|'(?!\s+[+.&|]\s)(?P<single>(?:[^'\\\r\n]|\\.)++)'"
 #: What ends a bare value besides white space: a mark that closes, an HTML tag, the next name of a list of settings.
@@ -49,8 +50,7 @@ _LONGEST = max(map(len, WORDS))
 _LOOKS = str.maketrans("4@8310!57$", "aabeloists")
 _DATE = (re.compile(r"(\d{4})([-/._]?)(\d{1,2})\2(\d{1,2})"), re.compile(r"(\d{1,2})([-/._]?)(\d{1,2})\2(\d{4}|\d{2})"))
 _ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
-_LONGEST_UNIT = 16
-#: Keys of the longest keyboard walk that is one segment; a longer one is several.
+#: Keys of the longest keyboard walk that is one segment; a longer one is taken as several, at the cost of each.
 _LONGEST_WALK = 40
 
 
@@ -111,18 +111,49 @@ def walk_cost(s: str) -> float | None:
     return _walk_guesses(min(len(s), _LONGEST_WALK), turns) + (0.5 if low != s else 0.0)
 
 
-def repeats(s: str) -> list[tuple[int, int, int]]:
-    """(start, end, unit length) of each start's longest repetition of a unit of up to 16 characters."""
-    out = []
-    for p in range(1, min(_LONGEST_UNIT, len(s) // 2) + 1):
-        run = 0
-        for i in range(len(s) - p - 1, -1, -1):
-            run = run + 1 if s[i] == s[i + p] else 0
-            if run >= p:
-                out.append((i, i + p + run // p * p, p))
+def _alike(s: str, i: int, j: int) -> int:
+    """Length of the longest common prefix of s[i:] and s[j:], j > i."""
+    most, step = len(s) - j, 1
+    while step < most and s[i : i + step] == s[j : j + step]:
+        step *= 2
+    low, high = step // 2, min(step, most)
+    while low < high:
+        mid = (low + high + 1) // 2
+        low, high = (mid, high) if s[i + low : i + mid] == s[j + low : j + mid] else (low, mid - 1)
+    return low
+
+
+def runs(s: str) -> set[tuple[int, int, int]]:
+    """(start, end, period) of every maximal repetition, twice its period long at least.
+
+    Each one's root is, in one of the two orders of the alphabet, the longest Lyndon word at some place. There are
+    fewer than len(s), whatever their periods.
+    """
+    n, back, out = len(s), s[::-1], set()
+    for up in (True, False):
+        end = [n] * n  # of the longest Lyndon word from here
+        for i in range(n - 1, -1, -1):
+            j = i + 1
+            while j < n:
+                k = _alike(s, i, j)
+                if j + k == n or (s[i + k] < s[j + k]) != up:
+                    break
+                j = end[j]
+            end[i] = j
+            p = j - i
+            if j < n:
+                before = _alike(back, n - j, n - i) if i else 0
+                after = _alike(s, i, j)
+                if before + after >= p:
+                    out.add((i - before, j + after, p))
     return out
 
 
+def repeats(s: str) -> list[tuple[int, int, int]]:
+    """(start, end, unit length) of each start's longest repetition of a unit, whatever the unit's length."""
+    return [(i, i + (b - i) // p * p, p) for a, b, p in runs(s) for i in range(a, b - 2 * p + 1)]
+
+
 def brute_cost(c: str) -> float:
     return 1.0 if c.isascii() else 2.0
 
@@ -132,7 +163,8 @@ def guess_cost(s: str) -> tuple[float, str]:
     """(decades of guesses, the cheapest segmentation's kinds and lengths) of a string; (0, "") if empty.
 
     Each segment after the first costs log10(2) more, for guessing where it begins. Of equal costs the
-    segmentation whose last segment is longest wins, then the kind that sorts first.
+    segmentation whose last segment is longest wins, then the kind that sorts first. A walk segment has 40 keys at
+    most, all other segments may be of any length.
     """
     n, more = len(s), log10(2)
     spans: dict[int, list[tuple[int, float, str]]] = {}
