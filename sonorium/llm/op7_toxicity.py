@@ -46,7 +46,8 @@ REPORT_SPAN, ADDRESS_SPAN = 4, 3
 #: A term is learnt from MIN_DOCS toxic documents and as many different contexts, in MIN_FRESH of its occurrences at
 #: least, and if not more than IMPURE of the documents with it are clean (in rates).
 MIN_DOCS, MIN_FRESH, IMPURE = 8, 0.35, 0.02
-STEM = 4
+#: Characters of the shortest and the longest stem that is learnt.
+STEM, STEM_MOST = 4, 12
 
 BASE = (
     "idiot idiots moron morons imbecile stupid scum scumbag loser losers pathetic worthless trash clown disgusting bastard bitch asshole "
@@ -316,8 +317,8 @@ class Scorer:
             return out_hits, out_quoted, out_score, out_toxic
         at, edits = self.hits(buf, start, end)
         owner = np.searchsorted(first, at, "right") - 1
-        for d in np.unique(owner).tolist():
-            mine = owner == d
+        docs, cuts = np.unique(owner, return_index=True)  # hits come in the order of the texts
+        for d, mine in zip(docs.tolist(), map(slice, cuts.tolist(), [*cuts[1:].tolist(), len(owner)])):
             a, b, o = int(first[d]), int(first[d + 1]), int(offsets[d])
             raw = buf[o : int(offsets[d + 1])].tobytes()
             text = raw.decode("utf-8", "replace")
@@ -338,7 +339,7 @@ class Scorer:
 
 
 def _prefixes(word: str) -> Iterable[str]:
-    return (word[:k] + "*" for k in range(STEM, min(len(word), 12) + 1))
+    return (word[:k] + "*" for k in range(STEM, min(len(word), STEM_MOST) + 1))
 
 
 def _tokens(texts: pa.Array) -> Iterator[list[str]]:
@@ -451,7 +452,7 @@ def _score(docs: DataFrame, lexicon: Lexicon, out: list[str]) -> DataFrame:
 def score_toxicity(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """(doc_id, n_hits, n_quoted, score, toxic) of every row of docs.
 
-    Null and empty texts score 0 and are not toxic. Rows are judged one by one, so repeated rows agree;
+    Null and empty texts score 0 and are not toxic, very long ones are read whole. Rows are judged one by one, so repeated rows agree;
     an empty table gives no rows, a null doc_id stays null, other columns are ignored.
     """
     todo = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -459,6 +460,6 @@ def score_toxicity(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """docs without the toxic rows, all columns kept as they are."""
+    """docs without the toxic rows, all columns kept as they are: null and empty texts, repeated rows, rows without doc_id."""
     names = [fresh(docs, n) for n in ("tox_hits", "tox_quoted", "tox_score", "tox_verdict")]
     return _score(docs, lexicon, names).filter(~F.col(names[3])).drop(*names)
