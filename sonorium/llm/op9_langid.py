@@ -5,8 +5,9 @@ to. A document is lower-cased and compressed in blocks against every dictionary;
 fewest bytes wins, unless another comes within a margin, in which case the document is rejected (no language).
 Blocks start afresh, so that a long document can't become its own dictionary.
 
-The dictionaries are filled from a bounded sample of rows that carry a language label: ``SAMPLE`` rows a
-language, the ones with the smallest hashes of their ids.
+The dictionaries are filled from a bounded sample of rows that carry a language label: of the ``LANGUAGES`` most frequent
+languages, whole texts of ``SAMPLE`` rows at most, the ones with the smallest hashes of their ids. A
+text that doesn't fit into what is left of a dictionary's ``DICTIONARY_BYTES`` is left out; none is cut.
 """
 
 from __future__ import annotations
@@ -22,27 +23,35 @@ from pyspark.sql.window import Window
 
 from .textops import chunks
 
-#: Labelled rows a language, the most characters that one of them lends, and the size of a dictionary.
-SAMPLE, ROW_CHARS, DICTIONARY_BYTES = 200, 800, 112 << 10
+#: Languages that get a dictionary, labelled rows a language, and the most bytes of a dictionary.
+LANGUAGES, SAMPLE, DICTIONARY_BYTES = 64, 200, 112 << 10
 #: Least advantage of the best language over the second, as a share of the second's bytes.
 MARGIN = 0.01
 BLOCK, LEVEL = 4 << 10, 3
 
 
-def fit_dictionaries(docs: DataFrame, sample: int = SAMPLE, size: int = DICTIONARY_BYTES) -> dict[str, bytes]:
+def fit_dictionaries(docs: DataFrame, sample: int = SAMPLE, size: int = DICTIONARY_BYTES, languages: int = LANGUAGES) -> dict[str, bytes]:
     """language -> dictionary text, from labelled rows (null or empty lang or text are left out).
 
-    The row whose hash is smallest comes last, nearest to the text; of equal rows one is taken.
+    The row whose hash is smallest comes last, nearest to the text; of equal rows one is taken. Of languages of
+    equal frequency the first by name are taken. A language none of whose texts fits whole has no dictionary.
     """
-    rows = docs.filter("lang IS NOT NULL AND lang <> '' AND text IS NOT NULL AND text <> ''").select("lang", F.col("doc_id").cast("string").alias("id"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= sample)
-    some = docs.select(F.col("lang").alias("lang_"), F.col("doc_id").cast("string").alias("id_"), F.substring("text", 1, ROW_CHARS).alias("text_"))
-    found = some.join(F.broadcast(chosen.distinct()), F.expr("lang_ = lang AND id_ <=> id")).select("lang", "rank", "text_").distinct().collect()
+    rows = docs.filter("lang IS NOT NULL AND lang <> '' AND text IS NOT NULL AND text <> ''")
+    known = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).select("lang")
+    fit = rows.filter(F.octet_length(F.lower("text")) < size).join(F.broadcast(known), "lang").select("lang", F.col("doc_id").cast("string").alias("id"), F.xxhash64(F.col("doc_id").cast("string")).alias("hash"), F.xxhash64("text").alias("mark"))
+    order = Window.partitionBy("lang").orderBy("hash", "id", "mark")
+    chosen = fit.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= sample).groupBy("lang", "id", "mark").agg(F.min("rank").alias("rank"))
+    some = docs.select(F.col("lang").alias("lang_"), F.col("doc_id").cast("string").alias("id_"), F.xxhash64("text").alias("mark_"), F.col("text").alias("text_"))
+    found = some.join(F.broadcast(chosen), F.expr("lang_ = lang AND id_ <=> id AND mark_ = mark")).select("lang", "rank", "text_").distinct().collect()
     out: dict[str, bytes] = {}
     for lang in sorted({r["lang"] for r in found}):
-        mine = sorted(((r["rank"], r["text_"]) for r in found if r["lang"] == lang), reverse=True)
-        out[lang] = "\n".join(t for _, t in mine).lower().encode()[-size:]
+        left, parts = size, []
+        for _, t in sorted((r["rank"], r["text_"].lower().encode()) for r in found if r["lang"] == lang):
+            if len(t) < left:
+                parts.append(t)
+                left -= len(t) + 1
+        if parts:
+            out[lang] = b"\n".join(reversed(parts))
     return out
 
 
@@ -72,7 +81,7 @@ class Classifier:
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MARGIN) -> DataFrame:
     """(doc_id, language, margin, accepted) of every row of docs.
 
-    ``language`` is null where the margin is too narrow, the text is null or empty, or there is no dictionary;
+    Texts are compressed whole, however long. ``language`` is null where the margin is too narrow, the text is null or empty, or there is no dictionary;
     ties between languages are a margin of 0. Rows are judged one by one, so repeated rows agree; an empty
     table gives no rows, a null doc_id stays null, other columns (a lang among them) are ignored.
     """
