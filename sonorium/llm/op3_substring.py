@@ -7,8 +7,8 @@ anchors that it selects, as sorted 32-bit cells for both hash rows; merging adds
 folds the cells to a width fit for the number of anchors (``CELLS`` a key, ``MAX_BITS`` at most: beyond that
 more windows are taken for repeated, none is lost). The merged sketch keeps one bit a cell: counted twice.
 
-The second pass hashes the windows whose anchor both rows count at least twice, brings equal anchors together
-and groups the windows exactly. The windows' order in their documents comes back as spans of words.
+The second pass hashes the windows whose anchor both rows count at least twice (128 bits each), brings equal anchors
+together and groups the windows. The windows' order in their documents comes back as spans of words.
 """
 
 from __future__ import annotations
@@ -28,6 +28,9 @@ WINDOW, GRAM = 50, 16
 CELLS, MAX_BITS, SLICE_BITS = 8, 29, 6
 _SALT = (U64(0x243F6A8885A308D3), U64(0x13198A2E03707344))
 _TOP = U64(0xFFFFFFFFFFFFFFFF)
+_OTHER = U64(0x452821E638D01377)
+#: A window is known by two hashes of 64 bits, made of words hashed in two ways.
+_KEY = np.dtype([("h", "<u8"), ("g", "<u8")])
 
 
 def _slide(x: np.ndarray, n: int, of) -> np.ndarray:  # noqa: ANN001
@@ -159,8 +162,10 @@ def _emit_windows(maps, bits: int, buckets: int, window: int, gram: int):  # noq
                 rec = np.empty(len(at), _REC)
                 rec["doc"] = b.column("id").to_numpy()[doc]
                 rec["at"], rec["n"] = at - w.first[doc], stop - at
-                full = window_hashes(w.h, window)
-                hashes = full[np.repeat(at - (np.cumsum(rec["n"]) - rec["n"]), rec["n"]) + np.arange(rec["n"].sum())]
+                place = np.repeat(at - (np.cumsum(rec["n"]) - rec["n"]), rec["n"]) + np.arange(rec["n"].sum())
+                hashes = np.empty(len(place), _KEY)
+                hashes["h"] = window_hashes(w.h, window)[place]
+                hashes["g"] = window_hashes(mix(w.h ^ _OTHER), window)[place]
                 held.append(((mix(w.anchor[at]) % U64(buckets)).astype(np.int64), rec, hashes))
                 size += len(hashes)
                 if size > 500_000:
@@ -191,10 +196,10 @@ def _group(window: int):  # noqa: ANN202
                 hashes.setdefault(k, []).append(h)
         for k in sorted(recs):
             rec = np.frombuffer(b"".join(recs.pop(k)), _REC)
-            h = np.frombuffer(b"".join(hashes.pop(k)), U64)
+            h = np.frombuffer(b"".join(hashes.pop(k)), _KEY)
             n = rec["n"].astype(np.int64)
             place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            order = np.argsort(h)
+            order = np.lexsort((h["g"], h["h"]))
             same = h[order][1:] == h[order][:-1]
             twice = np.zeros(len(h), bool)
             twice[order[1:][same]] = True
@@ -205,7 +210,7 @@ def _group(window: int):  # noqa: ANN202
             which = np.searchsorted(np.cumsum(n), some, "right")
             doc, at, h = rec["doc"][which], rec["at"][which] + place[some], h[some]
             yield spans(doc, at, 0)
-            order = np.lexsort((at, doc, h))
+            order = np.lexsort((at, doc, h["g"], h["h"]))
             later = order[1:][h[order][1:] == h[order][:-1]]
             yield spans(doc[later], at[later], 1)
 
@@ -219,7 +224,7 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -
     where they overlap or touch. ``spans``
     covers all windows that occur more than once in the table, ``cut_spans`` those that occurred before, in an
     earlier document (by doc_id) or earlier in the same one: removing these leaves every passage once. Texts
-    shorter than a window, empty and null ones have none; rows with a null doc_id are left out. Repeated rows
+    shorter than a window, empty and null ones have none, very long ones are read whole; rows with a null doc_id are left out. Repeated rows
     count as occurrences and share the one result row of their doc_id, where their places fall together. An
     empty table gives no rows; other columns are ignored.
     """
