@@ -1,16 +1,18 @@
-"""Exact top-k search by inner product, every vector a query.
+"""Exact top-k search by inner product: a set of query vectors against the whole table.
 
 Vectors are rotated by the singular vectors of the whole table's second-moment matrix, so that the first
-coordinates carry most of every inner product, and sorted by descending length. Runs of that order are
-items' blocks; a block of queries meets them from the longest on. By Cauchy-Schwarz no item scores above
-``|q||x|`` nor above ``q_head.x_head + |q_tail||x_tail|``: once the first bound of a block's longest vector is
-below the k-th best of each query, the block and all after it are skipped, and an item whose partial sum
-and residual bound stay below is never multiplied out. Scores that decide are computed in double precision;
-bounds carry a slack above the rounding of the single-precision partial sums, so nothing is lost.
-
-Queries are cut into groups, each met by every block exactly once: a group streams the blocks in order and
-keeps only its own k best, so memory doesn't grow with the table. Exact search over n queries is
-n * n / 2 at worst; pruning decides how much of it is done.
+coordinates carry most of every inner product, and sorted by descending length into blocks. By Cauchy-Schwarz no
+item scores above ``|q||x|`` nor above ``q_head.x_head + |q_tail||x_tail|``: once the first bound of a block's
+longest vector is below the k-th best of each query, the block and all after it are skipped, and an item
+whose partial sum and residual bound stay below is never multiplied out. Scores that decide are computed in
+double precision; bounds carry a slack above the rounding of the single-precision partial sums, so
+nothing is lost.
+
+The search has two phases. First, all queries meet the longest blocks only (``LEAD`` of them); each query's k-th
+best there over its own length is the shortest vector that it can still need. Queries are then grouped by that
+length, and a group is sent only the remaining blocks that reach the least of its queries' lengths, a stretch
+of them a task, so that groups and stretches make up a grid: items travel once a group, queries once a stretch.
+Last, each query's results of all stretches are merged, k from each at most.
 """
 
 from __future__ import annotations
@@ -19,14 +21,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, discard
 
 K = 10
+#: The queries of the search: rows whose id this divides.
+EVERY = 20
 #: Rows of a block of items, queries of a group, share of the second moment in the head coordinates.
 BLOCK, GROUP, HEAD = 1024, 4096, 0.6
+#: Blocks that all queries meet first, and blocks of a stretch that one task of a group meets.
+LEAD, STRETCH = 2, 8
 _SLACK = 1e-5
 
 
@@ -46,10 +52,26 @@ def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["m"])
 
 
-def rotation(vectors: DataFrame) -> tuple[np.ndarray, int]:
-    """(right singular vectors, number of head coordinates) of all rows; d x d whatever the table's size."""
-    parts = [np.frombuffer(r["m"]) for r in vectors.mapInArrow(_moments, "m binary").collect()]
-    total = np.sum(parts, 0)
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = None
+    for b in batches:
+        for m in b.column("m").to_pylist():
+            part = np.frombuffer(m)
+            total = part if total is None else total + part
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["m"])
+
+
+def rotation(vectors: DataFrame, fan_in: int = 32) -> tuple[np.ndarray, int]:
+    """(right singular vectors, number of head coordinates) of all rows.
+
+    Partitions' d x d moments are added up in a tree, fan_in at a time, so that the driver receives fan_in of them at most.
+    """
+    parts, left = vectors.mapInArrow(_moments, "m binary"), vectors.rdd.getNumPartitions()
+    while left > fan_in:
+        left = -(-left // fan_in)
+        parts = parts.repartition(left).mapInArrow(_summed, "m binary")
+    total = np.sum([np.frombuffer(r["m"]) for r in parts.collect()], 0)
     d = int(len(total) ** 0.5)
     values, axes = np.linalg.eigh(total.reshape(d, d))
     values, axes = np.maximum(values[::-1], 0), axes[:, ::-1]
@@ -68,11 +90,12 @@ class Group:
         n = len(ids)
         self.score = np.full((n, k), -np.inf)
         self.found = np.full((n, k), np.iinfo(np.int64).max)
+        self.floor = np.full(n, -np.inf)  # a k-th best known from elsewhere: what scores below can't matter
         self.multiplied = 0
 
     def meet(self, ids: np.ndarray, rotated: np.ndarray, length: np.ndarray) -> bool:
         """Takes a block in; False if neither it nor any later one can matter."""
-        least = self.score[:, -1]
+        least = np.maximum(self.score[:, -1], self.floor)
         slack = _SLACK * (1 + self.length * length[0])
         alive = np.flatnonzero(self.length * length[0] + slack >= least)
         if not len(alive):
@@ -116,66 +139,114 @@ class Group:
         return True
 
 
-def top_k(table: DataFrame, k: int = K, block: int = BLOCK, group: int = GROUP) -> DataFrame:
-    """(vec_id, rank, neighbour_id, score): the k largest inner products of every vector with the others.
+_OUT = "vec_id long, rank int, neighbour_id long, score double"
 
-    Scores are rounded to 9 decimals; of ties the smaller id ranks first. A vector is no neighbour of its own
-    id, so repeated rows of one id answer alike and count as one item each. Rows with a null id, a null, empty
-    or differently long vector, or a null or non-finite coordinate are left out (the length is that of most rows, the
-    shorter of ties); k is cut to what the table has, an empty table gives no rows, other columns are ignored.
+
+def _blocks(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for at in range(0, b.num_rows, block):
+            part = b.slice(at, block)
+            cols = ((float(part.column("length")[0].as_py()), pa.float64()), (int(part.column("id")[0].as_py()), pa.int64()), (part.column("id").to_numpy().tobytes(), pa.binary()), (b"".join(part.column("x").to_pylist()), pa.binary()))
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in cols], ["length", "first_id", "ids", "xs"])
+
+
+def _search(d: int, head: int, k: int):  # noqa: ANN202
+    """Of each cell, whose queries come first and then its blocks from the longest on, the queries' k best and k-th best."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here: Group | None = None
+        cell, done, ids, xs, floors = None, False, [], [], []
+
+        def ready() -> Group:
+            g = Group(np.array(ids, np.int64), np.frombuffer(b"".join(xs)).reshape(-1, d), head, k)
+            g.floor = np.array(floors)
+            return g
+
+        for b in batches:
+            for c, kind, key, floor, raw, items in zip(*(b.column(n).to_pylist() for n in ("cell", "kind", "first_id", "floor", "xs", "ids"))):
+                if c != cell:
+                    if here is not None:
+                        yield _answers(here)
+                    here, cell, done, ids, xs, floors = None, c, False, [], [], []
+                if kind == 0:
+                    ids.append(key)
+                    xs.append(raw)
+                    floors.append(floor)
+                elif ids and not done:
+                    here = here or ready()
+                    x = np.frombuffer(raw).reshape(-1, d)
+                    done = not here.meet(np.frombuffer(items, np.int64), x, np.linalg.norm(x, axis=1))
+        if here is not None:
+            yield _answers(here)
+
+    return run
+
+
+def top_k(table: DataFrame, k: int = K, every: int = EVERY, block: int = BLOCK, group: int = GROUP, lead: int = LEAD, stretch: int = STRETCH) -> DataFrame:
+    """(vec_id, rank, neighbour_id, score): the k largest inner products of each query with the other rows.
+
+    Queries are the rows whose id ``every`` divides, items are all rows. Scores are rounded to 9 decimals; of ties the smaller
+    id ranks first. A vector is no neighbour of its own id; repeated rows count as one item, an id with several
+    vectors asks with all of them and answers with the k best of theirs. Rows with a null id, a null, empty or differently long vector, or a null or non-finite coordinate
+    are left out (the length is that of most rows, the shorter of ties); vectors of any length are taken whole; k
+    is cut to what the table has, an empty table gives no rows, other columns are ignored.
     """
     spark = table.sparkSession
-    empty = spark.createDataFrame([], "vec_id long, rank int, neighbour_id long, score double")
+    empty = spark.createDataFrame([], _OUT)
     v = F.col("embedding").cast("array<double>")
     sound = table.select(F.col("vec_id").cast("long").alias("id"), v.alias("v")).filter("id IS NOT NULL AND v IS NOT NULL AND size(v) > 0").filter(~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))))
     lengths = sound.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
     if not lengths:
         return empty
-    sound = sound.filter(F.size("v") == lengths[0]["d"]).dropDuplicates(["id", "v"])
-    sound = cut(sound, "vectors")
+    d = lengths[0]["d"]
+    sound = cut(sound.filter(F.size("v") == d).dropDuplicates(["id", "v"]), "vectors")
     axes, head = rotation(sound)
-    total = sound.count()
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = _pack(b) @ axes
             if len(x):
-                raw = [r.tobytes() for r in x]
-                yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(np.linalg.norm(x, axis=1)), pa.array(raw, pa.binary())], ["id", "length", "x"])
-
-    rotated = cut(sound.mapInArrow(prepare, "id long, length double, x binary").repartitionByRange(max(1, -(-total // (block * 16))), F.desc("length"), F.col("id")).sortWithinPartitions(F.desc("length"), F.col("id")), "rotated")
-
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at in range(0, b.num_rows, block):
-                part = b.slice(at, block)
-                length = part.column("length").to_numpy()
-                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((float(length[0]), pa.float64()), (int(part.column("id")[0].as_py()), pa.int64()), (part.column("id").to_numpy().tobytes(), pa.binary()), (b"".join(part.column("x").to_pylist()), pa.binary()))], ["length", "first_id", "ids", "xs"])
-
-    items = rotated.mapInArrow(blocks, "length double, first_id long, ids binary, xs binary")
-    groups = max(1, -(-total // group))
-    queries = rotated.select(F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int").alias("g"), "id", "x").groupBy("g").agg(F.collect_list(F.struct("id", "x")).alias("rows"))
-    queries = queries.select("g", F.lit(float("inf")).alias("length"), F.lit(0).cast("long").alias("first_id"), F.transform("rows", lambda r: r["id"]).alias("qids"), F.transform("rows", lambda r: r["x"]).alias("qxs"), F.lit(None).cast("binary").alias("ids"), F.lit(None).cast("binary").alias("xs"))
-    sent = items.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), "length", "first_id", F.lit(None).cast("array<long>").alias("qids"), F.lit(None).cast("array<binary>").alias("qxs"), "ids", "xs")
-    both = queries.unionByName(sent).repartition(groups, "g").sortWithinPartitions("g", F.desc("length"), "first_id")
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here: Group | None = None
-        done = False
-        for b in batches:
-            for i in range(b.num_rows):
-                if b.column("qids")[i].is_valid:
-                    if here is not None:
-                        yield _answers(here)
-                    x = np.frombuffer(b"".join(b.column("qxs")[i].as_py())).reshape(-1, len(axes))
-                    here, done = Group(np.array(b.column("qids")[i].as_py(), np.int64), x, head, k), False
-                elif not done and here is not None:
-                    x = np.frombuffer(b.column("xs")[i].as_buffer()).reshape(-1, len(axes))
-                    done = not here.meet(np.frombuffer(b.column("ids")[i].as_buffer(), np.int64), x, np.linalg.norm(x, axis=1))
-        if here is not None:
-            yield _answers(here)
+                yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(np.linalg.norm(x, axis=1)), pa.array([r.tobytes() for r in x], pa.binary())], ["id", "length", "x"])
 
-    return both.mapInArrow(search, "vec_id long, rank int, neighbour_id long, score double")
+    total = sound.count()
+    n_queries = sound.filter(F.col("id") % every == 0).count()
+    order = [F.desc("length"), F.col("id")]
+    sorted_rows = sound.mapInArrow(prepare, "id long, length double, x binary").repartitionByRange(max(1, -(-total // (block * 16))), *order).sortWithinPartitions(*order)
+    rotated = cut(sorted_rows, "rotated")
+    discard(sound)
+    items = cut(rotated.mapInArrow(lambda b: _blocks(b, block), "length double, first_id long, ids binary, xs binary"), "blocks")
+    if not n_queries:
+        return empty
+    longest = [(r["length"], r["first_id"]) for r in items.select("length", "first_id").orderBy(F.desc("length"), "first_id").limit(lead).collect()]
+    length, first = longest[-1]
+    is_lead = (F.col("length") > F.lit(length)) | ((F.col("length") == F.lit(length)) & (F.col("first_id") <= F.lit(first)))
+    asked = rotated.filter(F.col("id") % every == 0)
+    search = _search(d, head, k)
+
+    def cells(queries: DataFrame, blocks: DataFrame, n: int) -> DataFrame:
+        """The search in the cells of both: queries (cell, id, x, floor), blocks (cell, length, first_id, ids, xs)."""
+        none = F.lit(None).cast("binary")
+        both = queries.select("cell", F.lit(0).alias("kind"), F.lit(0.0).alias("length"), F.col("id").alias("first_id"), "floor", none.alias("ids"), F.col("x").alias("xs"))
+        both = both.unionByName(blocks.select("cell", F.lit(1).alias("kind"), (-F.col("length")).alias("length"), "first_id", F.lit(0.0).alias("floor"), "ids", "xs"))
+        return both.repartitionById(n, F.pmod("cell", F.lit(n)).cast("int")).sortWithinPartitions("cell", "kind", "length", "first_id").mapInArrow(search, _OUT)
+
+    groups = max(1, -(-n_queries // group))
+    first_groups = asked.select(F.pmod(F.xxhash64("id"), F.lit(groups)).cast("long").alias("cell"), "id", "x", F.lit(float("-inf")).alias("floor"))
+    met = cut(cells(first_groups, items.filter(is_lead).select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<long>")).alias("cell"), "length", "first_id", "ids", "xs"), groups), "lead")
+    # the k-th best so far, and with it the shortest vector that a query can still need
+    kth = met.filter(F.col("rank") == k).groupBy(F.col("vec_id").alias("id")).agg(F.min("score").alias("floor"))
+    reach = F.coalesce((F.col("floor") - _SLACK * (1 + F.col("length") * F.lit(longest[0][0]))) / F.greatest("length", F.lit(1e-300)), F.lit(float("-inf")))
+    known = asked.join(kth, "id", "left").select("id", "x", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"), reach.alias("reach"))
+    known = cut(known.repartitionByRange(groups, F.desc("reach"), "id").select(F.spark_partition_id().cast("long").alias("g"), "*"), "queries")
+    # a row for each group of queries: 16 bytes to a few thousand queries
+    need = known.groupBy("g").agg(F.min("reach").alias("least"))
+    stretches = max(1, -(-total // (block * stretch)))
+    rest = items.filter(~is_lead).select(F.pmod(F.xxhash64("first_id"), F.lit(stretches)).alias("s"), "length", "first_id", "ids", "xs")
+    sent = rest.join(F.broadcast(need), F.col("length") >= F.col("least")).select((F.col("g") * stretches + F.col("s")).alias("cell"), "length", "first_id", "ids", "xs")
+    asked_in = sent.select("cell").distinct().select("cell", F.floor(F.col("cell") / stretches).alias("g"))
+    also = cells(known.join(asked_in, "g").select("cell", "id", "x", "floor"), sent, max(1, min(groups * stretches, 4096)))
+    place = Window.partitionBy("vec_id").orderBy(F.desc("score"), "neighbour_id")
+    return met.unionByName(also).withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k).select("vec_id", "rank", "neighbour_id", "score")
 
 
 def _answers(g: Group) -> pa.RecordBatch:

@@ -53,7 +53,7 @@ FROM c LEFT JOIN rules ON canonical_url GLOB pat GROUP BY row
 
 OP10_TOP_K = """
 WITH v AS (SELECT DISTINCT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0),
-s AS (SELECT a.vec_id, b.vec_id AS neighbour_id, round(list_inner_product(a.v, b.v), 9) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id),
+s AS (SELECT a.vec_id, b.vec_id AS neighbour_id, round(list_inner_product(a.v, b.v), 9) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, neighbour_id)::INT AS rank FROM s)
 SELECT vec_id, rank, neighbour_id, score FROM r WHERE rank <= 10
 """

@@ -21,27 +21,33 @@ def test_queries(spark, name):
     assert compare(spark, queries.queries()[name], SQL.get(name), SF).startswith(("same", "rows only"))
 
 
-def brute_top(rows, k):  # noqa: ANN001, ANN201
+def brute_top(rows, k, every):  # noqa: ANN001, ANN201
     items = {(i, tuple(np.float32(v).astype(float))) for i, v in rows}
     out = set()
-    for i, v in items:
-        ranked = sorted((-round(float(np.dot(v, w)), 9), j) for j, w in items if j != i)[:k]
-        out |= {(i, r, j, -s) for r, (s, j) in enumerate(ranked, 1)}
+    for i in {i for i, _ in items if i % every == 0}:
+        ranked = sorted((-round(float(np.dot(v, w)), 9), j) for h, v in items if h == i for j, w in items if j != i)[:k]
+        out |= {(i, r, j, round(-s, 8) + 0.0) for r, (s, j) in enumerate(ranked, 1)}
     return out
 
 
-@pytest.mark.parametrize(("block", "group"), [(1024, 4096), (8, 16)])
-def test_top_k(spark, block, group):
+@pytest.mark.parametrize(("every", "block", "group", "lead", "stretch"), [(20, 1024, 4096, 2, 8), (1, 8, 16, 2, 3), (3, 4, 5, 1, 1), (7, 16, 1, 50, 2)])
+def test_top_k(spark, every, block, group, lead, stretch):
     rnd = np.random.default_rng(0)
-    rows = [(i, (rnd.standard_normal(6) * (1 + i % 5)).astype(np.float32).tolist()) for i in range(120)]
-    rows += [(200, rows[3][1]), (201, rows[3][1]), (5, rows[5][1]), (300, [0.0] * 6)]
+    rows = [(i, (rnd.standard_normal(6) * (1 + i % 5) ** 2).astype(np.float32).tolist()) for i in range(120)]
+    rows += [(200, rows[3][1]), (201, rows[3][1]), (5, rows[5][1]), (300, [0.0] * 6), (-20, rows[4][1]), (40, rows[9][1])]
     bad = [(None, rows[0][1]), (400, None), (401, []), (402, [1.0]), (403, [float("nan")] * 6), (404, [None] * 6)]
     df = spark.createDataFrame([(i, v, 1, 2) for i, v in rows + bad], "vec_id long, embedding array<float>, rank int, ids int").repartition(3)
-    got = {tuple(r) for r in op10_topk.top_k(df, 7, block, group).collect()}
-    want = brute_top(rows, 7)
-    assert {g[:3] for g in got} == {w[:3] for w in want}
-    assert op10_topk.top_k(df.limit(0)).count() == 0
-    assert op10_topk.top_k(df.filter("vec_id = 0")).count() == 0
+    got = {(r[0], r[1], r[2], round(r[3], 8) + 0.0) for r in op10_topk.top_k(df, 7, every, block, group, lead, stretch).collect()}
+    assert got == brute_top(rows, 7, every)
+    for few in (df.limit(0), df.filter("vec_id = 0"), df.filter("vec_id = 21")):
+        assert op10_topk.top_k(few).count() == 0
+
+
+def test_moments_are_added_in_a_tree(spark):
+    df = spark.createDataFrame([(i, [float(i % 7), 1.0, float(i)]) for i in range(300)], "id long, v array<double>").repartition(20)
+    axes, head = op10_topk.rotation(df, 3)
+    x = np.array([r["v"] for r in df.collect()])
+    assert np.allclose(np.abs(axes), np.abs(np.linalg.eigh(x.T @ x)[1][:, ::-1]), atol=1e-6) and 1 <= head <= 3
 
 
 def test_pipeline_equals_brute_force(spark):
