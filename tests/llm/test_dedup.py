@@ -68,10 +68,32 @@ def brute_exact(rows):  # noqa: ANN001, ANN201
     return Counter((i, i if i is None or t is None else least[t], i is not None and t is not None and least[t] != i) for i, t, _ in rows)
 
 
-@pytest.mark.parametrize(("fan_in", "bits"), [(2, 64), (8, 64), (2, 2)])
-def test_exact_duplicates(spark, fan_in, bits):
+@pytest.mark.parametrize(("fan_in", "bits", "block"), [(2, 64, op5.BLOCK), (2, 64, 3), (8, 64, 5), (2, 2, 2), (3, 2, 100)])
+def test_exact_duplicates(spark, fan_in, bits, block):
     rows = awkward()
-    assert Counter(map(tuple, op5.exact_duplicates(table(spark, rows, 5), fan_in, bits).collect())) == brute_exact(rows)
+    assert Counter(map(tuple, op5.exact_duplicates(table(spark, rows, 5), fan_in, bits, block).collect())) == brute_exact(rows)
+
+
+def test_merging_streams_blocks():
+    """Blocks of many runs merge to the sorted distinct entries, and blocks stay small."""
+    rnd = np.random.default_rng(3)
+    runs = []
+    for _ in range(9):
+        x = np.zeros(500, op5._RUN)
+        x["d"] = np.sort(rnd.integers(-300, 300, 500))
+        x["a"], x["id"], x["copies"] = rnd.integers(0, 2, 500), rnd.integers(0, 1 << 40, 500), 1
+        runs.append(op5.least_of_equals(x))
+    want = {}
+    for r in runs:
+        for d, a, i in zip(r["d"].tolist(), r["a"].tolist(), r["id"].tolist()):
+            want[d, a] = min(i, want.get((d, a), i))
+    blocks = sorted((int(r["d"][at]), r[at : at + 7].tobytes()) for r in runs for at in range(0, len(r), 7))
+    batch = pa.RecordBatch.from_arrays([pa.array([0] * len(blocks), pa.int32()), pa.array([4] * len(blocks), pa.int32()), pa.array([f for f, _ in blocks], pa.int64()), pa.array([b for _, b in blocks], pa.binary())], ["slice", "to", "first", "run"])
+    got = [np.frombuffer(x, op5._RUN) for b in op5._merge(7)(iter([batch])) for x in b.column("run").to_pylist()]
+    assert max(map(len, got)) <= 7
+    every = np.concatenate(got)
+    assert [(d, a) for d, a in zip(every["d"].tolist(), every["a"].tolist())] == sorted(want)
+    assert {(d, a): i for d, a, i in zip(every["d"].tolist(), every["a"].tolist(), every["id"].tolist())} == want
 
 
 def test_drop_exact_duplicates(spark):
