@@ -69,15 +69,29 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """run for mapInArrow, giving freed memory back to the system when its task ends: workers outlive tasks, and an executor's add up."""
+    """run for mapInArrow, giving freed memory back to the system between batches and when its task ends: workers outlive tasks, and an executor's add up."""
+
+    def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = 0
+        for b in batches:
+            size += b.nbytes
+            yield b
+            del b
+            if size > 32 << 20:
+                size = 0
+                _give_back()
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
-        if trim is not None:
-            trim(0)
+        yield from run(trimmed(batches))
+        _give_back()
 
     return task
 

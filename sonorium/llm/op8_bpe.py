@@ -30,6 +30,8 @@ from .textops import _BYTES, U64, buffer, chunks, mix
 #: The vocabulary: lines of base64 token and rank.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
+#: Bytes of text encoded at once.
+ENCODED_BYTES = 1 << 20
 NONE = 1 << 40  # no rank
 
 # Symbols: letter, digit, other, space or other white space before a non-space, white space before white space or
@@ -178,7 +180,7 @@ def read_ranks(path: str = VOCABULARY) -> dict[bytes, int]:
 class Codec:
     """Encodes and decodes whole batches; remembers the slices it has merged, up to KNOWN of them."""
 
-    KNOWN = 300_000
+    KNOWN = 200_000
     #: Longest slice that is merged side by side with others; longer ones are merged alone with a heap.
     WIDE = 32
 
@@ -340,7 +342,7 @@ def encode(docs: DataFrame, path: str = VOCABULARY, columns: list[str] | None =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = codec(path, ranks.value)
         for batch in batches:
-            for b in chunks(batch, "text"):
+            for b in chunks(batch, "text", ENCODED_BYTES):
                 texts = b.column("text")
                 tokens, bound, ends, buf, offsets = machine.encode(texts)
                 same = _same_bytes(machine.decode(tokens), buf, offsets)
