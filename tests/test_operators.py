@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,6 +76,25 @@ def test_packing_equals_loop(spark):
     df = spark.createDataFrame(data, "g string, i long, size long")
     assert rows(packing.pack(df, "g", ["i"], "size", 7, 100), "g", "i", "shard", "sample_index") == sorted(want, key=repr)
     assert not packing.pack(df.limit(0), "g", ["i"], "size").count()
+    wide = spark.createDataFrame([("g", i, size) for i, (_, _, size) in enumerate(data)], "g string, i long, size long")
+    shard, count, total, want = 0, 0, 0, []
+    for i, (_, _, size) in enumerate(data):
+        if count and (count >= 7 or total + size > 100):
+            shard, count, total = shard + 1, 0, 0
+        want.append((i, shard, i))
+        count, total = count + 1, total + size
+    for parts in ("3", "40"):  # one group over several tasks, over chunks shorter than a shard
+        before = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            got = packing.pack(wide, "g", ["i"], "size", 7, 100)
+            assert sorted(map(tuple, got.select("i", "shard", "sample_index").collect())) == want
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before[0])
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before[1])
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
     odd = spark.createDataFrame([(None, 1, None), (None, 2, 50)], "g string, i long, size long")
     assert rows(packing.pack(odd, "g", ["i"], "size", 7, 100), "i", "shard") == [(1, 0), (2, 0)]
 
@@ -208,3 +228,13 @@ def test_global_numbers_of_many_rows(spark, adaptive):
         assert (bad, distinct, longest) == (0, n, 64)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_outlook_equals_packing_from_each_place():
+    rnd = random.Random(6)
+    for _ in range(300):
+        sizes = [rnd.choice([0, 1, 20, 60, 99, 100, 101, 300]) for _ in range(rnd.randrange(1, 40))]
+        for first, got in enumerate(packing.outlook(np.array(sizes), 5, 100)):
+            packer = packing.Packer(5, 100)
+            shards = packer.take(np.array(sizes[first:]))
+            assert got == (len(set(shards.tolist())), packer.count, packer.total)
