@@ -8,7 +8,8 @@ folds the cells to a width fit for the number of anchors (``CELLS`` a key, ``MAX
 more windows are taken for repeated, none is lost). The merged sketch keeps one bit a cell: counted twice.
 
 The second pass hashes the windows whose anchor both rows count at least twice (128 bits each), brings equal anchors
-together and groups the windows. The windows' order in their documents comes back as spans of words.
+together and groups the windows. What a stretch of texts repeats itself is settled before anything travels: of a passage
+that a third of all documents share, only its first place in every stretch does. The windows' order in their documents comes back as spans of words.
 """
 
 from __future__ import annotations
@@ -124,20 +125,60 @@ def _repeated(anchors: np.ndarray, maps: list[np.ndarray], bits: int) -> np.ndar
     return hit
 
 
-_REC = np.dtype([("doc", "<i8"), ("at", "<i4"), ("n", "<i4")])
+_REC = np.dtype([("doc", "<i8"), ("at", "<i4"), ("n", "<i4"), ("twice", "<i4")])
+_SPAN = np.dtype([("doc", "<i8"), ("kind", "<i4"), ("start", "<i4"), ("end", "<i4")])
+
+
+def _spans(doc: np.ndarray, at: np.ndarray, kind: int, window: int) -> np.ndarray:
+    """The stretches that windows at these places cover, windows one after the other joined."""
+    order = np.lexsort((at, doc))
+    doc, at = doc[order], at[order]
+    head = np.ones(len(doc), bool)
+    head[1:] = (doc[1:] != doc[:-1]) | (at[1:] > at[:-1] + 1)
+    h = np.flatnonzero(head)
+    out = np.empty(len(h), _SPAN)
+    out["doc"], out["kind"], out["start"] = doc[h], kind, at[h]
+    out["end"] = at[np.append(h[1:], len(doc)) - 1] + window if len(h) else 0
+    return out
+
+
+def _expanded(rec: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(record, document, place) of each of the records' windows."""
+    n = rec["n"].astype(np.int64)
+    which = np.repeat(np.arange(len(rec)), n)
+    return which, rec["doc"][which], rec["at"][which] + np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
 
 
 def _emit_windows(maps, bits: int, buckets: int, window: int, gram: int):  # noqa: ANN001, ANN202
+    def row(k: int, recs: np.ndarray, hashes: bytes | None) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([recs.tobytes()], pa.binary()), pa.array([hashes], pa.binary())], ["bucket", "recs", "hashes"])
+
     def flush(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        bucket, rec, hashes = (np.concatenate([x[i] for x in held]) for i in range(3))
-        first = np.cumsum(rec["n"]) - rec["n"]
+        """Each window that these texts hold travels once; its later places here are repetitions already."""
+        bucket, rec, key = (np.concatenate([x[i] for x in held]) for i in range(3))
+        which, doc, at = _expanded(rec)
+        order = np.lexsort((at, doc, key["g"], key["h"]))
+        head = np.append(True, key[order][1:] != key[order][:-1])
+        later = order[~head]
+        spans = np.concatenate([_spans(doc[later], at[later], kind, window) for kind in (0, 1)])
+        to = (mix(spans["doc"].astype(U64)) % U64(buckets)).astype(np.int64)
+        for k in np.unique(to).tolist():
+            yield row(k, spans[to == k], None)
+        twice = np.zeros(len(key), np.int32)
+        twice[order[head]] = np.diff(np.append(np.flatnonzero(head), len(order))) > 1
+        left = np.sort(order[head])
+        begin = np.append(True, (np.diff(left) != 1) | (np.diff(which[left]) != 0) | (np.diff(twice[left]) != 0))
+        start = np.flatnonzero(begin)
+        runs = np.empty(len(start), _REC)
+        runs["doc"], runs["at"], runs["twice"] = doc[left[start]], at[left[start]], twice[left[start]]
+        runs["n"] = np.diff(np.append(start, len(left)))
+        bucket, hashes = bucket[which[left[start]]], key[left]
         order = np.argsort(bucket, kind="stable")
         cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
         for k in np.flatnonzero(np.diff(cuts)).tolist():
             mine = order[cuts[k] : cuts[k + 1]]
-            n = rec["n"][mine]
-            at = np.repeat(first[mine] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([rec[mine].tobytes()], pa.binary()), pa.array([hashes[at].tobytes()], pa.binary())], ["bucket", "recs", "hashes"])
+            n = runs["n"][mine].astype(np.int64)
+            yield row(k, runs[mine], hashes[np.repeat(start[mine] - (np.cumsum(n) - n), n) + np.arange(n.sum())].tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -161,7 +202,7 @@ def _emit_windows(maps, bits: int, buckets: int, window: int, gram: int):  # noq
                 doc = np.searchsorted(w.first, at, "right") - 1
                 rec = np.empty(len(at), _REC)
                 rec["doc"] = b.column("id").to_numpy()[doc]
-                rec["at"], rec["n"] = at - w.first[doc], stop - at
+                rec["at"], rec["n"], rec["twice"] = at - w.first[doc], stop - at, 0
                 place = np.repeat(at - (np.cumsum(rec["n"]) - rec["n"]), rec["n"]) + np.arange(rec["n"].sum())
                 hashes = np.empty(len(place), _KEY)
                 hashes["h"] = window_hashes(w.h, window)[place]
@@ -178,41 +219,31 @@ def _emit_windows(maps, bits: int, buckets: int, window: int, gram: int):  # noq
 
 
 def _group(window: int):  # noqa: ANN202
-    def spans(doc: np.ndarray, at: np.ndarray, kind: int) -> pa.RecordBatch:
-        order = np.lexsort((at, doc))
-        doc, at = doc[order], at[order]
-        head = np.ones(len(doc), bool)
-        head[1:] = (doc[1:] != doc[:-1]) | (at[1:] > at[:-1] + 1)
-        h = np.flatnonzero(head)
-        last = np.append(h[1:], len(doc)) - 1
-        return pa.RecordBatch.from_arrays([pa.array(doc[h]), pa.array(np.full(len(h), kind), pa.int32()), pa.array(at[h], pa.int32()), pa.array(at[last] + window, pa.int32())], ["doc_id", "kind", "start", "end"])
+    def batch(spans: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(spans[f])) for f in ("doc", "kind", "start", "end")], ["doc_id", "kind", "start", "end"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         recs: dict[int, list[bytes]] = {}
         hashes: dict[int, list[bytes]] = {}
         for b in batches:
             for k, r, h in zip(*(b.column(i).to_pylist() for i in range(3))):
+                if h is None:
+                    yield batch(np.frombuffer(r, _SPAN))
+                    continue
                 recs.setdefault(k, []).append(r)
                 hashes.setdefault(k, []).append(h)
         for k in sorted(recs):
             rec = np.frombuffer(b"".join(recs.pop(k)), _REC)
             h = np.frombuffer(b"".join(hashes.pop(k)), _KEY)
-            n = rec["n"].astype(np.int64)
-            place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            order = np.lexsort((h["g"], h["h"]))
+            which, doc, at = _expanded(rec)
+            order = np.lexsort((at, doc, h["g"], h["h"]))
             same = h[order][1:] == h[order][:-1]
-            twice = np.zeros(len(h), bool)
+            twice = rec["twice"][which] > 0
             twice[order[1:][same]] = True
             twice[order[:-1][same]] = True
-            some = np.flatnonzero(twice)
-            if not len(some):
-                continue
-            which = np.searchsorted(np.cumsum(n), some, "right")
-            doc, at, h = rec["doc"][which], rec["at"][which] + place[some], h[some]
-            yield spans(doc, at, 0)
-            order = np.lexsort((at, doc, h["g"], h["h"]))
-            later = order[1:][h[order][1:] == h[order][:-1]]
-            yield spans(doc[later], at[later], 1)
+            later = order[1:][same]
+            yield batch(_spans(doc[twice], at[twice], 0, window))
+            yield batch(_spans(doc[later], at[later], 1, window))
 
     return run
 
