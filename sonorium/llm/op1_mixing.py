@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, key_text, maybe_broadcast, partitions
+from .common import cut, fresh, key_text, maybe_broadcast, partitions
 
 SEED = 20
 #: Sources without an explicit target share the rest of the weight in proportion to n ** POWER.
@@ -36,7 +36,7 @@ def rates(docs: DataFrame, targets: dict[str, float] | None = None, epochs: floa
     Weights are normalised to 1 over the sources present; those in ``targets`` weigh as given, the others
     share what is left of 1 (nothing, if the targets sum to 1 or more) by n ** power.
     """
-    n = docs.groupBy(F.col("source").cast("string").alias("source")).agg(F.count("*").alias("n_docs"))
+    n = cut(docs.groupBy(F.col("source").cast("string").alias("source")).agg(F.count("*").alias("n_docs")), "sources")  # used several times
     raw = F.pow(F.col("n_docs").cast("double"), F.lit(power))
     if targets:
         given = F.create_map(*[x for k, v in targets.items() for x in (F.lit(k), F.lit(float(v)))])
@@ -71,7 +71,8 @@ def mix_sources(docs: DataFrame, targets: dict[str, float] | None = None, epochs
 
     A null source is a source of its own. Rows that share a doc_id share their draw, and each is repeated
     that often; a row without doc_id draws by its text (null as empty). An empty table gives an empty
-    table. Extra columns are kept whatever their names.
+    table. Extra columns are kept whatever their names, and a ``copy`` that one of them has gets underscores. Very long
+    texts are carried whole.
     """
     spark = docs.sparkSession
     keep = columns or docs.columns
@@ -84,6 +85,8 @@ def mix_sources(docs: DataFrame, targets: dict[str, float] | None = None, epochs
     count = F.aggregate(F.sequence(F.lit(1), F.col(f"r.{reps}")), F.lit(0), lambda a, i: a + one(i))
     drawn = drawn.select(*[F.col(f"d.`{c}`") for c in keep], F.col(f"d.{who}").alias(who), count.alias(reps)).filter(F.col(reps) > 0)
     copies = drawn.withColumn(no, F.explode(F.sequence(F.lit(0), F.col(reps) - 1)))
+    while copy and copy.lower() in {c.lower() for c in keep}:
+        copy += "_"
     spot = F.xxhash64(F.lit(seed), F.col(who), F.col(no))
     out = copies.withColumn(reps, spot).repartition(partitions(spark), reps).sortWithinPartitions(reps)
     return out.select(*[F.col(f"`{c}`") for c in keep], *([F.col(no).alias(copy)] if copy else []))
