@@ -173,19 +173,22 @@ def _second_pass(common, n: int, t: float, buckets: int):  # noqa: ANN001, ANN20
 
 
 def _unpack(blobs: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]:
-    """(node, size, marks of each distinct node; gram, node number, place of each entry)."""
-    node, size, marks, which, place, gram, base = [], [], [], [], [], [], 0
-    for k, m, blob in blobs:
+    """(node, size, marks of each distinct node; gram, node number, place of each entry); takes the blobs out of their list."""
+    entries = sum(m for _, m, _ in blobs)
+    gram, which, place = np.empty(entries, U64), np.empty(entries, np.int32), np.empty(entries, np.int32)
+    node, size, marks, base, at = [], [], [], 0, 0
+    while blobs:
+        k, m, blob = blobs.pop()
         x = unpacked(blob, (k, "<i8"), (k, "<u4"), *[(k, "<u8")] * MARKS, (m, "<u8"), (m, "<u4"), (m, "<u4"))
         node.append(x[0])
         size.append(x[1])
         marks.append(np.stack(x[2:-3]))
-        gram.append(np.cumsum(x[-3]))
-        which.append((x[-2] + base).astype(np.int32))
-        place.append(x[-1].astype(np.int32))
-        base += k
+        np.cumsum(x[-3], out=gram[at : at + m])
+        which[at : at + m] = x[-2] + base
+        place[at : at + m] = x[-1]
+        base, at = base + k, at + m
     node, first, number = np.unique(np.concatenate(node), return_index=True, return_inverse=True)
-    return node, np.concatenate(size)[first].astype(np.int64), np.concatenate(marks, 1)[:, first], np.concatenate(gram), number.astype(np.int32)[np.concatenate(which)], np.concatenate(place)
+    return node, np.concatenate(size)[first].astype(np.int64), np.concatenate(marks, 1)[:, first], gram, number.astype(np.int32)[which], place
 
 
 def bucket_pairs(blobs: list[tuple[int, int, bytes]], t: float, bucket: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:

@@ -181,7 +181,7 @@ def test_buckets_report_every_similar_pair():
             blobs[b.column("bucket")[0].as_py()].append(tuple(b.column(i)[0].as_py() for i in (1, 2, 3)))
         found = Counter()
         for k, x in blobs.items():
-            found.update(zip(*(y.tolist() for y in op2.bucket_pairs(x, 0.55, k, buckets))))
+            found.update(zip(*(y.tolist() for y in op2.bucket_pairs(list(x), 0.55, k, buckets))))
         nodes = [op2.digest(s) for s in real]
         want = {(min(nodes[i], nodes[j]), max(nodes[i], nodes[j])) for i in range(len(real)) for j in range(i) if len(np.intersect1d(real[i], real[j])) / len(np.union1d(real[i], real[j])) >= 0.55}
         assert want and want <= found.keys()
