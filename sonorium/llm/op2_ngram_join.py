@@ -15,11 +15,16 @@
    once. First its histogram goes there: the sum of the smaller counts bounds a pair's overlap (suffix filter). The
    sets of the pairs that remain go there next and are intersected, once a pair. A cell reports each node's links
    and closest partner and a spanning forest of its pairs, so that rows follow the nodes and not the pairs.
+5. Thousands of copies of one text would still give a row for each of their pairs. So nodes carry the least gram of each of
+   ``BINS`` ranges of the hash; ``DENSE`` nodes or more that agree in two neighbouring ranges and in most others make a
+   *family*. Buckets pass over pairs inside a family; those are all counted by products of 0/1 matrices, a cell for any two
+   parts of a family. Whatever the families, the links are the same: they only decide which way a pair is counted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 from math import ceil
 
 import numpy as np
@@ -40,6 +45,12 @@ MARKS = 2
 BUCKET_ENTRIES, _FLUSH = 3_000_000, 1_000_000
 #: Nodes of either side that a cell of a large neighbourhood holds.
 CELL = 4096
+#: Ranges of the hash whose least grams are a node's signature, and those of them in which the nodes of a family agree with most others.
+BINS, ALIKE = 16, 7
+#: Least nodes of a family, most nodes and grams that a part of it is meant to hold, and most (value, node) rows that families are made of (largest first).
+DENSE, PART, PART_GRAMS, FAMILY_ROWS = 128, 2048, 1_000_000, 1_000_000
+#: Pairs that are looked at together, and found pairs that a cell keeps.
+_LOOK, _KEEP = 1_000_000, 100_000
 _EPS = 1e-9
 _IDS = 40
 _SALT = U64(0x5851F42D4C957F2D)
@@ -86,7 +97,14 @@ def most_common(p: np.ndarray, q: np.ndarray) -> int:
     return int(np.minimum(p.reshape(len(q), -1).sum(1), q).sum())
 
 
-_FIRST = "kind int, node long, id long, mark long, n int, slice int, counts binary"
+def signature(grams: np.ndarray) -> bytes:
+    """Of each range of the hash the least gram's last 32 bits, 0 for an empty range."""
+    at = np.searchsorted(grams, np.arange(BINS + 1, dtype=U64) * U64((1 << 56) // BINS))
+    low = grams[np.minimum(at[:-1], len(grams) - 1)].astype(np.uint32)
+    return np.where(at[1:] > at[:-1], low, np.uint32(0)).tobytes()
+
+
+_FIRST = "kind int, node long, id long, mark long, n int, slice int, counts binary, sig binary"
 
 
 def _first_pass(n: int):  # noqa: ANN202
@@ -97,12 +115,12 @@ def _first_pass(n: int):  # noqa: ANN202
                 sets = gram_sets(b.column("text"), n)
                 cells, times = np.unique(np.concatenate(sets).astype(np.uint32) & np.uint32(CELLS - 1), return_counts=True)
                 counts[cells] = np.minimum(counts[cells] + times, 65_535)
-                nothing = pa.nulls(len(sets), pa.int32()), pa.array([histogram(s) if len(s) else None for s in sets], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(sets), np.int32)), pa.array([digest(s) for s in sets], pa.int64()), b.column("id"), b.column("mark"), pa.array([len(s) for s in sets], pa.int32()), *nothing], ["kind", "node", "id", "mark", "n", "slice", "counts"])
+                nothing = pa.nulls(len(sets), pa.int32()), pa.array([histogram(s) if len(s) else None for s in sets], pa.binary()), pa.array([signature(s) if len(s) else None for s in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(sets), np.int32)), pa.array([digest(s) for s in sets], pa.int64()), b.column("id"), b.column("mark"), pa.array([len(s) for s in sets], pa.int32()), *nothing], ["kind", "node", "id", "mark", "n", "slice", "counts", "sig"])
         if counts.any():
             none, size = pa.nulls(SLICES, pa.int64()), CELLS // SLICES
             slices = [packed(counts[s * size : (s + 1) * size]) for s in range(SLICES)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(SLICES, 1, np.int32)), none, none, none, pa.nulls(SLICES, pa.int32()), pa.array(np.arange(SLICES, dtype=np.int32)), pa.array(slices, pa.binary())], ["kind", "node", "id", "mark", "n", "slice", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(SLICES, 1, np.int32)), none, none, none, pa.nulls(SLICES, pa.int32()), pa.array(np.arange(SLICES, dtype=np.int32)), pa.array(slices, pa.binary()), pa.nulls(SLICES, pa.binary())], ["kind", "node", "id", "mark", "n", "slice", "counts", "sig"])
 
     return run
 
@@ -191,9 +209,28 @@ def _unpack(blobs: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]:
     return node, np.concatenate(size)[first].astype(np.int64), np.concatenate(marks, 1)[:, first], gram, number.astype(np.int32)[which], place
 
 
-def bucket_pairs(blobs: list[tuple[int, int, bytes]], t: float, bucket: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """The nodes a < b of the pairs that this bucket has to report, each once."""
+def _spans(lo: np.ndarray, hi: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, j) of all lo[i] <= j < hi[i], about _LOOK at a time."""
+    count = np.maximum(hi - lo, 0)
+    total, at = np.cumsum(count), 0
+    while at < len(lo):
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + _LOOK, "right")))
+        n = count[at:to]
+        i = np.repeat(np.arange(at, to), n)
+        yield i, lo[i] + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
+        at = to
+
+
+def _bucket_parts(blobs: list[tuple[int, int, bytes]], t: float, bucket: int, buckets: int, families: tuple[np.ndarray, np.ndarray] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The nodes a < b of the pairs that this bucket has to report, in parts of bounded size, each once in a part.
+
+    families: sorted nodes and the number, from 1, of each one's family; pairs inside a family are left out.
+    """
     node, size, marks, gram, who, place = _unpack(blobs)
+    family = np.zeros(len(node), np.int64)
+    if families is not None:
+        at = np.minimum(np.searchsorted(families[0], node), len(families[0]) - 1)
+        family = np.where(families[0][at] == node, families[1][at], 0)
     order = np.argsort(gram, kind="stable")
     g = gram[order]
     same = g[1:] == g[:-1]
@@ -206,44 +243,86 @@ def bucket_pairs(blobs: list[tuple[int, int, bytes]], t: float, bucket: int, buc
     once = np.ones(len(order), bool)  # a node comes from several partitions
     once[1:] = (g[1:] != g[:-1]) | (w[1:] != w[:-1]) | (p[1:] != p[:-1])
     g, w, p = g[once], w[once].astype(np.int64), p[once].astype(np.int64)
-    del order, gram, who, place
+    del order, gram, who, place, same, shared, once
     s = size[w]
     marked = (marks[:, w] == g).any(0)
-    group = np.cumsum(np.append(True, g[1:] != g[:-1])) if len(g) else g
-    left, step, held, total = np.arange(len(g)), 0, [np.empty(0, np.int64)], 0
-    while len(left):
-        step += 1
-        left = left[left + step < len(g)]
-        right = left + step
-        go = (group[left] == group[right]) & (s[left] >= t * s[right] - _EPS)
-        left, right = left[go], right[go]
+
+    def reported(left: np.ndarray, right: np.ndarray) -> np.ndarray:
         first = np.minimum(s[left] - p[left], s[right] - p[right]) >= needed(s[left], s[right], t)
         ok = (first | (marked[left] & marked[right])) & (w[left] != w[right])
         a, b = w[left[ok]], w[right[ok]]
-        held.append(np.minimum(a, b) * len(node) + np.maximum(a, b))
-        total += len(a)
+        return np.minimum(a, b) * len(node) + np.maximum(a, b)
+
+    def alone() -> Iterator[np.ndarray]:
+        """Of entries without family, by size in each gram."""
+        own = np.flatnonzero(family[w] == 0)
+        group = np.cumsum(np.append(True, g[own][1:] != g[own][:-1])) if len(own) else own
+        for at in range(0, len(own), _LOOK):
+            left, step = np.arange(at, min(at + _LOOK, len(own))), 0
+            while len(left):
+                step += 1
+                left = left[left + step < len(own)]
+                go = (group[left] == group[left + step]) & (s[own[left]] >= t * s[own[left + step]] - _EPS)
+                left = left[go]
+                yield reported(own[left], own[left + step])
+
+    def between() -> Iterator[np.ndarray]:
+        """Of entries of different families, or of one and of none: each block of a gram's entries with the blocks behind it."""
+        of = np.flatnonzero(np.isin(g, g[family[w] > 0]))
+        of = of[np.lexsort((s[of], family[w[of]], g[of]))]
+        if not len(of):
+            return
+        gram, kin = g[of], family[w[of]]
+        block = np.cumsum(np.append(0, (gram[1:] != gram[:-1]) | (kin[1:] != kin[:-1])))
+        gram_of = gram[np.append(True, block[1:] != block[:-1])]
+        key, left, step = (block << 32) + s[of], np.arange(len(of)), 0
+        while len(left):
+            step += 1
+            left = left[block[left] + step < len(gram_of)]
+            left = left[gram_of[block[left]] == gram_of[block[left] + step]]
+            base = (block[left] + step) << 32
+            least, most = np.ceil(t * s[of[left]] - _EPS).astype(np.int64), np.floor(s[of[left]] / t + _EPS).astype(np.int64)
+            for i, j in _spans(np.searchsorted(key, base + least), np.searchsorted(key, base + most, "right")):
+                yield reported(of[left[i]], of[j])
+
+    def mine(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        a, b = np.divmod(np.unique(np.concatenate(held)), max(len(node), 1))
+        least = np.full(len(a), U64(1 << _IDS))  # the smallest mark that both have
+        for x in marks:
+            for y in marks:
+                least = np.where(x[a] == y[b], np.minimum(least, x[a]), least)
+        own = (least == U64(1 << _IDS)) | ((least * U64(buckets)) >> U64(_IDS) == U64(bucket))
+        return node[a[own]], node[b[own]]
+
+    held, total = [np.empty(0, np.int64)], 0
+    for found in chain(alone(), between()):
+        held.append(found)
+        total += len(found)
         if total > 3_000_000:
             held = [np.unique(np.concatenate(held))]
-            total = 0
-    a, b = np.divmod(np.unique(np.concatenate(held)), max(len(node), 1))
-    least = np.full(len(a), U64(1 << _IDS))  # the smallest mark that both have
-    for x in marks:
-        for y in marks:
-            least = np.where(x[a] == y[b], np.minimum(least, x[a]), least)
-    mine = (least == U64(1 << _IDS)) | ((least * U64(buckets)) >> U64(_IDS) == U64(bucket))
-    return node[a[mine]], node[b[mine]]
+            total = len(held[0])
+            if total > 1_500_000:  # what meets again is reported again
+                yield mine(held)
+                held, total = [np.empty(0, np.int64)], 0
+    yield mine(held)
 
 
-def _pairs(t: float, buckets: int):  # noqa: ANN202
+def bucket_pairs(blobs: list[tuple[int, int, bytes]], t: float, bucket: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes a < b of the pairs that this bucket has to report, each once."""
+    found = np.unique(np.concatenate([np.stack(x, 1) for x in _bucket_parts(blobs, t, bucket, buckets)]), axis=0)
+    return found[:, 0], found[:, 1]
+
+
+def _pairs(t: float, buckets: int, families=None):  # noqa: ANN001, ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs: dict[int, list[tuple[int, int, bytes]]] = {}
         for batch in batches:
             for bucket, k, m, blob in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 blobs.setdefault(bucket, []).append((k, m, blob))
         for bucket in sorted(blobs):
-            a, b = bucket_pairs(blobs.pop(bucket), t, bucket, buckets)
-            for at in range(0, len(a), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(x[at : at + 100_000]) for x in (a, b)], ["a", "b"])
+            for a, b in _bucket_parts(blobs.pop(bucket), t, bucket, buckets, families and families.value):
+                for at in range(0, len(a), 100_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(x[at : at + 100_000]) for x in (a, b)], ["a", "b"])
 
     return run
 
@@ -271,6 +350,9 @@ def _in_cells(load, agree, report):  # noqa: ANN001, ANN202
                     held[x] = load(blob), y
                 elif x in held and y in held and (value := agree(held[x][0], held[y][0])) is not None:
                     found.append((x, y, held[x][1], held[y][1], value))
+                    if len(found) >= _KEEP:  # parts of a cell's links add up, and its forests connect the same nodes
+                        yield from rows()
+                        found = []
         yield from rows()
 
     return run
@@ -291,6 +373,11 @@ def _bound(t: float):  # noqa: ANN202
     return _in_cells(load, agree, lambda found: [(1, x, y, None, value) for x, y, _, _, value in found])
 
 
+def _loaded(blob: bytes) -> np.ndarray:
+    """A set that _sets packed."""
+    return np.cumsum(unpacked(blob[4:], (int.from_bytes(blob[:4], "little"), "<u8"))[0])
+
+
 def _verify(t: float):  # noqa: ANN202
     def agree(p: np.ndarray, q: np.ndarray) -> float | None:
         common = int((q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p).sum())
@@ -316,10 +403,7 @@ def _verify(t: float):  # noqa: ANN202
         for node, n in links.items():
             yield 0, node, None, n, best[node]
 
-    def load(blob: bytes) -> np.ndarray:
-        return np.cumsum(unpacked(blob[4:], (int.from_bytes(blob[:4], "little"), "<u8"))[0])
-
-    return _in_cells(load, agree, report)
+    return _in_cells(_loaded, agree, report)
 
 
 def _sets(n: int):  # noqa: ANN202
@@ -332,6 +416,214 @@ def _sets(n: int):  # noqa: ANN202
     return run
 
 
+def _values(sig: np.ndarray) -> np.ndarray:
+    """Of each signature the hashes of its pairs of neighbouring ranges, 0 where one is empty."""
+    a, b = sig[:, 0::2].astype(U64), sig[:, 1::2].astype(U64)
+    with np.errstate(over="ignore"):
+        v = mix(mix((a << U64(32)) | b) + np.arange(BINS // 2, dtype=U64))
+    return np.where((a > 0) & (b > 0), v, U64(0))
+
+
+def _banded(wanted=None):  # noqa: ANN001, ANN202
+    """(v) of all values of (node, sig), or (v, node, sig) of the wanted ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            v = _values(np.frombuffer(b"".join(b.column("sig").to_pylist()), np.uint32).reshape(-1, BINS))
+            if wanted is None:
+                yield pa.RecordBatch.from_arrays([pa.array(v[v > 0].view(np.int64))], ["v"])
+                continue
+            row, k = np.nonzero(np.isin(v.view(np.int64), wanted.value))
+            yield pa.RecordBatch.from_arrays([pa.array(v[row, k].view(np.int64)), b.column("node").take(pa.array(row)), b.column("sig").take(pa.array(row))], ["v", "node", "sig"])
+
+    return run
+
+
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(v, node) of the nodes of each value whose signatures agree with what is most frequent among (the first) nodes of that value."""
+
+    def kept(v: int, nodes: list[int], sigs: list[bytes]) -> pa.RecordBatch:
+        sig = np.frombuffer(b"".join(sigs), np.uint32).reshape(-1, BINS)
+        usual = [np.unique(c, return_counts=True) for c in sig[:4096].T]
+        ok = (sig == np.array([u[np.argmax(n)] for u, n in usual], np.uint32)).sum(1) >= ALIKE
+        node = np.array(nodes, np.int64)[ok]
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(node), v, np.int64)), pa.array(node)], ["v", "node"])
+
+    here, nodes, sigs = None, [], []
+    for b in batches:
+        for v, node, sig in zip(*(b.column(i).to_pylist() for i in range(3))):
+            if v != here:
+                if nodes:
+                    yield kept(here, nodes, sigs)
+                here, nodes, sigs = v, [], []
+            nodes.append(node)
+            sigs.append(sig)
+    if nodes:
+        yield kept(here, nodes, sigs)
+
+
+def group_families(v: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted nodes and the number, from 1, of each one's family, given (value, node) rows: what values connect, if much of it shares some.
+
+    The bound on how much keeps the pairs that matrices look at to some times those that share a value.
+    """
+    values, vi = np.unique(v, return_inverse=True)
+    nodes, ni = np.unique(node, return_inverse=True)
+    label = np.arange(len(values))
+    while True:
+        least = np.full(len(nodes), len(values))
+        np.minimum.at(least, ni, label[vi])
+        new = label.copy()
+        np.minimum.at(new, vi, least[ni])
+        if (new == label).all():
+            break
+        label = new
+    size = np.bincount(least, minlength=len(values))
+    met = np.bincount(label, np.bincount(vi, minlength=len(values)).astype(float) ** 2, minlength=len(values))
+    good = (size >= DENSE) & (met * 4 >= size.astype(float) ** 2)
+    number = np.cumsum(good) * good
+    return nodes[number[least] > 0], number[least][number[least] > 0]
+
+
+def _families(leads: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
+    """group_families of the values that DENSE nodes share."""
+    spark = leads.sparkSession
+    with tidy(spark):
+        heavy = leads.select("node", "sig").mapInArrow(released(_banded()), "v long").groupBy("v").agg(F.count("*").alias("rows")).filter(F.col("rows") >= DENSE)
+        heavy = heavy.orderBy(F.desc("rows"), "v").limit(FAMILY_ROWS // DENSE).toArrow()
+    values = heavy["v"].to_numpy()[np.cumsum(heavy["rows"].to_numpy()) <= FAMILY_ROWS]
+    if not len(values):
+        return None
+    wanted = spark.sparkContext.broadcast(values)
+    with tidy(spark):
+        found = leads.select("node", "sig").mapInArrow(released(_banded(wanted)), "v long, node long, sig binary").repartition(partitions(spark), "v").sortWithinPartitions("v").mapInArrow(released(_alike), "v long, node long").toArrow()
+    wanted.unpersist()
+    nodes, number = group_families(found["v"].to_numpy(), found["node"].to_numpy())
+    return (nodes, number) if len(nodes) else None
+
+
+def overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """How many grams each set of x has in common with each of y: products of 0/1 matrices for frequent grams, one by one for the others."""
+    out = np.zeros((len(x), len(y)), np.float32)
+    gx, gy = np.concatenate(x), np.concatenate(y)
+    rx, ry = (np.repeat(np.arange(len(z)), [len(s) for s in z]) for z in (x, y))
+    ux, ix, nx = np.unique(gx, return_inverse=True, return_counts=True)
+    uy, iy, ny = np.unique(gy, return_inverse=True, return_counts=True)
+    _, ax, ay = np.intersect1d(ux, uy, assume_unique=True, return_indices=True)
+    del gx, gy
+    often = nx[ax] * ny[ay] * 300 > len(x) * len(y)
+    columns = np.full(len(ux), -1), np.full(len(uy), -1)
+    for chosen in np.split(np.flatnonzero(often), range(1024, int(often.sum()), 1024)):
+        sides = []
+        for column, i, r, a, z in zip(columns, (ix, iy), (rx, ry), (ax, ay), (x, y)):
+            column[:] = -1
+            column[a[chosen]] = np.arange(len(chosen))
+            c = column[i]
+            side = np.zeros((len(z), len(chosen)), np.float32)
+            side[r[c >= 0], c[c >= 0]] = 1
+            sides.append(side)
+        out += sides[0] @ sides[1].T
+    rare = np.flatnonzero(~often)
+    for column, a in zip(columns, (ax, ay)):
+        column[:] = -1
+        column[a[rare]] = np.arange(len(rare))
+    cx, cy = columns[0][ix], columns[1][iy]
+    rx, cx = rx[cx >= 0], cx[cx >= 0]
+    order = np.argsort(cy, kind="stable")
+    order = order[cy[order] >= 0]
+    ry, cy = ry[order], cy[order]
+    for i, j in _spans(np.searchsorted(cy, cx), np.searchsorted(cy, cx, "right")):
+        np.add.at(out.reshape(-1), rx[i] * len(y) + ry[j], 1)
+    return out
+
+
+def forest(agree: np.ndarray) -> list[tuple[int, int]]:
+    """(row, column) pairs of a matrix that connect the same rows and columns as all its true cells."""
+    rows, columns, out = agree.any(1), ~agree.any(0), []
+    while rows.any():
+        front = np.array([np.argmax(rows)])
+        rows[front] = False
+        while len(front):
+            part = agree[front]
+            new = np.flatnonzero(part.any(0) & ~columns)
+            columns[new] = True
+            out += zip(front[part[:, new].argmax(0)].tolist(), new.tolist())
+            if not len(new):
+                break
+            part = agree[:, new]
+            front = np.flatnonzero(part.any(1) & rows)
+            rows[front] = False
+            out += zip(front.tolist(), new[part[front].argmax(1)].tolist())
+    return out
+
+
+def _dense(t: float):  # noqa: ANN202
+    """What _verify reports, of all pairs of the nodes of two parts of a family, or of one part."""
+
+    def cell(x: dict[int, tuple[int, np.ndarray]], y: dict[int, tuple[int, np.ndarray]], one: bool) -> pa.RecordBatch:
+        common = overlaps([s for _, s in x.values()], [s for _, s in y.values()])
+        (nx, mx, sx), (ny, my, sy) = ((np.array(list(z), np.int64), np.array([m for m, _ in z.values()], float), np.array([len(s) for _, s in z.values()])) for z in (x, y))
+        agree = np.zeros(common.shape, bool)
+        links, best = [np.zeros(len(x)), np.zeros(len(y))], [np.zeros(len(x)), np.zeros(len(y))]
+        for at in range(0, len(x), 256):
+            rows = slice(at, at + 256)
+            c = common[rows].astype(float)
+            ok = c >= needed(sx[rows, None], sy[None], t)
+            if one:
+                ok[np.arange(len(ok)), np.arange(at, at + len(ok))] = False
+            value = np.where(ok, c / (sx[rows, None] + sy[None] - c), 0)
+            agree[rows] = ok
+            links[0][rows], best[0][rows] = ok @ my, value.max(1)
+            links[1] += mx[rows] @ ok
+            best[1] = np.maximum(best[1], value.max(0))
+        out = []
+        for node, n, value in list(zip((nx, ny), links, best))[: 1 if one else 2]:
+            has = n > 0
+            k = int(has.sum())
+            out.append(([0] * k, node[has].tolist(), [None] * k, n[has].astype(np.int64).tolist(), value[has].tolist()))
+        pairs = forest(agree)
+        i, j = np.array([a for a, _ in pairs], np.int64), np.array([b for _, b in pairs], np.int64)
+        c = common[i, j].astype(float)
+        out.append(([1] * len(pairs), nx[i].tolist(), ny[j].tolist(), [None] * len(pairs), (c / (sx[i] + sy[j] - c)).tolist()))
+        return pa.RecordBatch.from_arrays([pa.array([v for part in out for v in part[k]], kind) for k, kind in enumerate((pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.float64()))], [c.split()[0] for c in _CELL.split(", ")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, sides = None, ({}, {})
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            if here and here[1] == here[2]:
+                yield cell(sides[0], sides[0], True)
+            elif sides[0] and sides[1]:
+                yield cell(*sides, False)
+
+        for b in batches:
+            for family, low, high, side, node, members, blob in zip(*(b.column(i).to_pylist() for i in range(7))):
+                if here != (family, low, high):
+                    yield from rows()
+                    here, sides = (family, low, high), ({}, {})
+                sides[side][node] = members, _loaded(blob)  # a row that is repeated is one node
+        yield from rows()
+
+    return run
+
+
+def _inside(todo: DataFrame, leads: DataFrame, families: tuple[np.ndarray, np.ndarray], n: int, t: float) -> DataFrame:
+    """What _verify reports, of the pairs inside families."""
+    spark = todo.sparkSession
+    listed = cut(spark.createDataFrame(pa.table({"node": families[0], "family": families[1]})), "families")
+    known = cut(leads.join(maybe_broadcast(listed), "node").select("family", "node", "lead_id", "lead_mark", "members", "n"), "members")
+    parts = known.groupBy("family").agg(F.greatest(F.ceil(F.count("*") / PART), F.ceil(F.sum("n") / PART_GRAMS)).cast("int").alias("parts"))
+    wanted = cut(known.join(parts, "family").select("lead_id", "lead_mark", F.struct("family", "parts", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part")).alias("cell"), "node", "members"), "wanted")
+    mine = todo.join(maybe_broadcast(wanted), (F.col("id") == F.col("lead_id")) & (F.col("mark") == F.col("lead_mark")))
+    sets = mine.select("cell", "node", "members", "text")
+    sets = sets.mapInArrow(released(_sets(n)), "cell struct<family: long, parts: int, part: int>, node long, members long, blob binary")
+    each = sets.select("cell.*", F.explode(F.sequence(F.lit(0), F.col("cell.parts") - 1)).alias("other"), "node", "members", "blob")
+    placed = each.select("family", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), (F.col("part") > F.col("other")).cast("int").alias("side"), "node", "members", "blob")
+    return placed.repartition(partitions(spark), "family", "low", "high").sortWithinPartitions("family", "low", "high").mapInArrow(released(_dense(t)), _CELL)
+
+
 def _placed(pairs: DataFrame, hops: int, name: str) -> DataFrame:
     """(cell, a, b) of the pairs, written: a neighbourhood's pairs share a cell, or the cells of a grid of nodes a and b.
 
@@ -391,18 +683,22 @@ def similar(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> tuple[DataFram
         common[r["slice"] * size : (r["slice"] + 1) * size] = unpacked(bytes(r["common"]), (size, "u1"))[0]
     order = spark.sparkContext.broadcast(packed(common))  # CELLS bytes at most, whatever the data
     entries = live.agg(F.sum(F.col("n") - F.ceil(F.lit(t) * F.col("n") - F.lit(_EPS)) + 1)).first()[0] or 0
-    once = live.groupBy("node").agg(F.min(F.struct("id", "mark")).alias("lead"), F.first("counts").alias("blob"))
+    once = live.groupBy("node").agg(F.min(F.struct("id", "mark")).alias("lead"), F.first("counts").alias("blob"), F.first("sig").alias("sig"), F.first("n").alias("n"))
     members = live.select("node", "id").distinct().groupBy("node").agg(F.count("*").alias("members"))
-    leads = cut(once.join(members, "node").select("node", F.col("lead.id").alias("lead_id"), F.col("lead.mark").alias("lead_mark"), "members", "blob"), "leads")
+    leads = cut(once.join(members, "node").select("node", F.col("lead.id").alias("lead_id"), F.col("lead.mark").alias("lead_mark"), "members", "blob", "sig", "n"), "leads")
     discard(first)
+    families = _families(leads)
+    kin = families and spark.sparkContext.broadcast(families)
     buckets = max(1, -(-int(entries) // BUCKET_ENTRIES))
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _second_pass(unpacked(order.value, (CELLS, "u1"))[0], n, t, buckets)(batches)
 
     sent = todo.select("text").mapInArrow(released(second), "bucket int, nodes int, entries int, blob binary").repartitionById(buckets, "bucket")
-    candidates = cut(sent.mapInArrow(released(_pairs(t, buckets)), "a long, b long").distinct(), "candidates")
+    candidates = cut(sent.mapInArrow(released(_pairs(t, buckets, kin)), "a long, b long").distinct(), "candidates")
     order.unpersist()
+    if kin:
+        kin.unpersist()
     placed = _placed(candidates, 1, "candidates")
     survivors = cut(_meet(_members(placed).join(leads.select("node", "members", "blob"), "node"), placed, _bound(t)).select("a", "b"), "survivors")
     discard(candidates, placed)
@@ -410,9 +706,10 @@ def similar(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> tuple[DataFram
     wanted = cut(_members(placed).join(leads.select("node", "lead_id", "lead_mark", "members"), "node"), "wanted")
     mine = todo.join(maybe_broadcast(wanted), (F.col("id") == F.col("lead_id")) & (F.col("mark") == F.col("lead_mark")))
     sets = mine.select("cell", "node", "members", "text").mapInArrow(released(_sets(n)), "cell long, node long, members long, blob binary")
-    found = cut(_meet(sets, placed, _verify(t)), "found")
+    met = _meet(sets, placed, _verify(t))
+    found = cut(met if families is None else met.unionByName(_inside(todo, leads, families, n, t)), "found")
     discard(survivors, placed, wanted)
-    return every, leads.drop("blob"), found
+    return every, leads.drop("blob", "sig", "n"), found
 
 
 def components(edges: DataFrame) -> DataFrame:

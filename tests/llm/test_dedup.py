@@ -167,6 +167,83 @@ def test_jaccard_of_large_neighbourhoods(spark, monkeypatch):
     assert found_classes(table(spark, rows)) == brute_classes(rows)
 
 
+def copies(n, m=80, seed=4):  # noqa: ANN001, ANN201
+    """n near copies of one text and m other texts, some of which take half of it."""
+    rnd = np.random.default_rng(seed)
+    base = [f"z{j}" for j in range(150)]
+    rows = [(k, " ".join(w if rnd.random() < 0.97 else f"y{rnd.integers(1000)}" for w in base), "s") for k in range(n)]
+    rows += [(n + k, " ".join(base[: 150 - k] + [f"x{rnd.integers(40)}" for _ in range(k)]), "s") for k in range(m)]
+    return rows + rows[:5] + [(5000 + k, t, s) for k, t, s in rows[:20]]
+
+
+@pytest.mark.parametrize("part", [16, op2.PART])
+def test_families_count_the_same_links(spark, monkeypatch, part):
+    """Pairs inside a family are counted by matrices, all others as before, whatever the parts are."""
+    monkeypatch.setattr(op2, "DENSE", 10)
+    monkeypatch.setattr(op2, "PART", part)
+    rows = copies(100) + awkward(10)
+    seen, inside = [], op2._inside
+    monkeypatch.setattr(op2, "_inside", lambda *a: seen.append(len(a[2][0])) or inside(*a))
+    assert found_classes(table(spark, rows)) == brute_classes(rows)
+    assert seen[0] > 80
+
+
+def test_copies_of_one_text_are_no_rows_of_pairs(spark, monkeypatch):
+    """1,200 near copies have 720,000 pairs; nearly none of them travels."""
+    sizes = {}
+    write = op2.cut
+
+    def counted(df, name):  # noqa: ANN001, ANN202
+        out = write(df, name)
+        sizes[name] = max(out.count(), sizes.get(name, 0))
+        return out
+
+    monkeypatch.setattr(op2, "cut", counted)
+    rows = [r for r in copies(1200, 0) if r[0] < 1200]
+    got = op2.jaccard_classes(table(spark, rows)).collect()
+    sets = [grams(t) for _, t, _ in rows[:1200]]
+    assert {r["class_id"] for r in got} == {0}
+    for r in got[:20]:
+        x = sets[r["doc_id"]]
+        assert r["n_links"] == sum(len(x & y) / len(x | y) >= op2.THRESHOLD - 1e-9 for y in sets) - 1
+    assert sizes["candidates"] < 100_000 and sizes["found"] < 10_000
+
+
+def test_a_bucket_and_a_cell_hold_few_pairs(monkeypatch):
+    """However many pairs meet, parts of bounded size leave; together they are all pairs."""
+    real = op2.gram_sets(pa.array([" ".join(f"g{j}" for j in range(60) if j != k % 50) + f" h{k}" for k in range(2500)]), 1)
+    text = pa.RecordBatch.from_arrays([pa.array([" ".join(f"g{j}" for j in range(60) if j != k % 50) + f" h{k}" for k in range(2500)], pa.large_string())], ["text"])
+    blobs = [tuple(b.column(i)[0].as_py() for i in (1, 2, 3)) for b in op2._second_pass(np.zeros(op2.CELLS, np.uint8), 1, 0.55, 1)(iter([text]))]
+    parts = list(op2._bucket_parts(list(blobs), 0.55, 0, 1))
+    assert len(parts) > 1
+    assert len(np.unique(np.concatenate([np.stack(p, 1) for p in parts]), axis=0)) == len(real) * (len(real) - 1) // 2
+    nodes = np.sort(np.array([op2.digest(s) for s in real]))
+    assert not len(next(iter(op2._bucket_parts(list(blobs), 0.55, 0, 1, (nodes, np.ones(len(nodes), np.int64)))))[0])
+    monkeypatch.setattr(op2, "_KEEP", 10)
+    cell = [(7, 0, k, 1, b"x") for k in range(9)] + [(7, 1, i, j, None) for i in range(9) for j in range(i)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*cell)], ["cell", "kind", "a", "b", "blob"])
+    out = list(op2._in_cells(lambda b: b, lambda p, q: 1.0, lambda found: [(1, x, y, None, v) for x, y, _, _, v in found])(iter([batch])))
+    assert len(out) == 4 and sum(b.num_rows for b in out) == 36
+
+
+def test_overlaps_and_forests():
+    rnd = np.random.default_rng(2)
+    x, y = ([np.unique(rnd.integers(0, top, 30).astype(np.uint64)) for top in [60] * 40 + [1 << 20] * 5] for _ in range(2))
+    assert (op2.overlaps(x, y) == [[len(np.intersect1d(a, b)) for b in y] for a in x]).all()
+    for share in (0, 0.02, 0.1, 1):
+        agree = rnd.random((40, 30)) < share
+
+        def roots(pairs):  # noqa: ANN001, ANN202
+            label = list(range(70))
+            for _ in range(70):
+                for i, j in pairs:
+                    label[i] = label[40 + j] = min(label[i], label[40 + j])
+            return label
+
+        pairs = op2.forest(agree)
+        assert all(agree[p] for p in pairs) and roots(pairs) == roots(np.argwhere(agree).tolist())
+
+
 def test_buckets_report_every_similar_pair():
     """Over many buckets, each pair that agrees is reported once at least, and by one bucket if it shares a mark."""
     rnd = np.random.default_rng(9)
