@@ -4,13 +4,13 @@
    partition's counts of the grams in a fixed sketch; the merged sketch orders grams from rare to common. Any order common
    to all documents is right, a rarer-first one is fast. Documents with equal sets share the digest and
    are one *node* from there on.
-2. A set of n grams sends its first n - ceil(t n) + 1 grams in that order (its prefix); two sets that agree to t
-   share one. Prefixes travel packed, a row for each bucket (a range of 40-bit gram ids), with places and sizes.
+2. A set of n grams sends its first n - ceil(t n) + 2 grams in that order (its prefix); two sets that agree to t
+   share two, or one if that is all they need to share. Prefixes travel packed, a row for each bucket (a range of 40-bit gram ids), with places and sizes.
 3. In a bucket, the nodes of a gram are paired, smallest first, if their sizes (length filter) allow it and if
-   the gram can be the *first* that they share: with nothing shared before it, what follows its places must suffice (positional
-   filter). Every pair that agrees has such a first gram. Each node also carries its ``MARKS`` prefix grams of smallest
+   the gram can be the first or second that they share: with one shared before it, what follows its places must suffice (positional
+   filter). Pairs that all buckets together report a single gram of met by chance and are dropped. Each node also carries its ``MARKS`` prefix grams of smallest
    salted hash: a pair that shares some of these is reported by the smallest one's bucket alone, which both are sure to visit,
-   so that near copies aren't reported by every bucket they meet in.
+   and needs no second gram, so that near copies aren't reported by every bucket they meet in.
 4. The pairs of a neighbourhood meet in one cell, or in a grid of cells if it is large, and each node travels to a cell
    once. First its histogram goes there: the sum of the smaller counts bounds a pair's overlap (suffix filter). The
    sets of the pairs that remain go there next and are intersected, once a pair. A cell reports each node's links
@@ -141,7 +141,7 @@ def prefixes(sets: list[np.ndarray], common: np.ndarray, t: float) -> list[np.nd
     out = []
     for s in sets:
         order = np.sort((common[(s & U64(CELLS - 1)).astype(np.int64)].astype(U64) << U64(56)) | s)
-        out.append(order[: len(s) - ceil(t * len(s) - _EPS) + 1] if len(s) else order)
+        out.append(order[: len(s) - ceil(t * len(s) - _EPS) + 2] if len(s) else order)
     return out
 
 
@@ -221,8 +221,9 @@ def _spans(lo: np.ndarray, hi: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndar
         at = to
 
 
-def _bucket_parts(blobs: list[tuple[int, int, bytes]], t: float, bucket: int, buckets: int, families: tuple[np.ndarray, np.ndarray] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The nodes a < b of the pairs that this bucket has to report, in parts of bounded size, each once in a part.
+def _bucket_parts(blobs: list[tuple[int, int, bytes]], t: float, bucket: int, buckets: int, families: tuple[np.ndarray, np.ndarray] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The nodes a < b of the pairs that this bucket has to report, in parts of bounded size, each once in a part, and how many of
+    the first two shared grams it saw (1 or 2); 2, too, if no other gram is needed.
 
     families: sorted nodes and the number, from 1, of each one's family; pairs inside a family are left out.
     """
@@ -248,7 +249,7 @@ def _bucket_parts(blobs: list[tuple[int, int, bytes]], t: float, bucket: int, bu
     marked = (marks[:, w] == g).any(0)
 
     def reported(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        first = np.minimum(s[left] - p[left], s[right] - p[right]) >= needed(s[left], s[right], t)
+        first = np.minimum(s[left] - p[left], s[right] - p[right]) + 1 >= needed(s[left], s[right], t)
         ok = (first | (marked[left] & marked[right])) & (w[left] != w[right])
         a, b = w[left[ok]], w[right[ok]]
         return np.minimum(a, b) * len(node) + np.maximum(a, b)
@@ -285,23 +286,31 @@ def _bucket_parts(blobs: list[tuple[int, int, bytes]], t: float, bucket: int, bu
             for i, j in _spans(np.searchsorted(key, base + least), np.searchsorted(key, base + most, "right")):
                 yield reported(of[left[i]], of[j])
 
-    def mine(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        a, b = np.divmod(np.unique(np.concatenate(held)), max(len(node), 1))
+    def twice(held: list[np.ndarray]) -> np.ndarray:
+        """What is held, each twice at most."""
+        found = np.sort(np.concatenate(held))
+        return found[np.append(np.ones(min(len(found), 2), bool), found[2:] != found[:-2])]
+
+    def mine(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        found, times = np.unique(twice(held), return_counts=True)
+        a, b = np.divmod(found, max(len(node), 1))
         least = np.full(len(a), U64(1 << _IDS))  # the smallest mark that both have
         for x in marks:
             for y in marks:
                 least = np.where(x[a] == y[b], np.minimum(least, x[a]), least)
-        own = (least == U64(1 << _IDS)) | ((least * U64(buckets)) >> U64(_IDS) == U64(bucket))
-        return node[a[own]], node[b[own]]
+        unmarked = least == U64(1 << _IDS)
+        times = np.where(unmarked & (needed(size[a], size[b], t) > 1), times, 2)
+        own = unmarked | ((least * U64(buckets)) >> U64(_IDS) == U64(bucket))
+        return node[a[own]], node[b[own]], times[own]
 
     held, total = [np.empty(0, np.int64)], 0
     for found in chain(alone(), between()):
         held.append(found)
         total += len(found)
         if total > 3_000_000:
-            held = [np.unique(np.concatenate(held))]
+            held = [twice(held)]
             total = len(held[0])
-            if total > 1_500_000:  # what meets again is reported again
+            if total > 1_500_000:  # what meets again is reported again, and added up
                 yield mine(held)
                 held, total = [np.empty(0, np.int64)], 0
     yield mine(held)
@@ -309,7 +318,7 @@ def _bucket_parts(blobs: list[tuple[int, int, bytes]], t: float, bucket: int, bu
 
 def bucket_pairs(blobs: list[tuple[int, int, bytes]], t: float, bucket: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """The nodes a < b of the pairs that this bucket has to report, each once."""
-    found = np.unique(np.concatenate([np.stack(x, 1) for x in _bucket_parts(blobs, t, bucket, buckets)]), axis=0)
+    found = np.unique(np.concatenate([np.stack(x[:2], 1) for x in _bucket_parts(blobs, t, bucket, buckets)]), axis=0)
     return found[:, 0], found[:, 1]
 
 
@@ -320,9 +329,9 @@ def _pairs(t: float, buckets: int, families=None):  # noqa: ANN001, ANN202
             for bucket, k, m, blob in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 blobs.setdefault(bucket, []).append((k, m, blob))
         for bucket in sorted(blobs):
-            for a, b in _bucket_parts(blobs.pop(bucket), t, bucket, buckets, families and families.value):
+            for a, b, times in _bucket_parts(blobs.pop(bucket), t, bucket, buckets, families and families.value):
                 for at in range(0, len(a), 100_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(x[at : at + 100_000]) for x in (a, b)], ["a", "b"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x[at : at + 100_000]) for x in (a, b, times.astype(np.int8))], ["a", "b", "times"])
 
     return run
 
@@ -682,7 +691,7 @@ def similar(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> tuple[DataFram
     for r in slices:
         common[r["slice"] * size : (r["slice"] + 1) * size] = unpacked(bytes(r["common"]), (size, "u1"))[0]
     order = spark.sparkContext.broadcast(packed(common))  # CELLS bytes at most, whatever the data
-    entries = live.agg(F.sum(F.col("n") - F.ceil(F.lit(t) * F.col("n") - F.lit(_EPS)) + 1)).first()[0] or 0
+    entries = live.agg(F.sum(F.col("n") - F.ceil(F.lit(t) * F.col("n") - F.lit(_EPS)) + 2)).first()[0] or 0
     once = live.groupBy("node").agg(F.min(F.struct("id", "mark")).alias("lead"), F.first("counts").alias("blob"), F.first("sig").alias("sig"), F.first("n").alias("n"))
     members = live.select("node", "id").distinct().groupBy("node").agg(F.count("*").alias("members"))
     leads = cut(once.join(members, "node").select("node", F.col("lead.id").alias("lead_id"), F.col("lead.mark").alias("lead_mark"), "members", "blob", "sig", "n"), "leads")
@@ -695,7 +704,8 @@ def similar(docs: DataFrame, n: int = N, t: float = THRESHOLD) -> tuple[DataFram
         yield from _second_pass(unpacked(order.value, (CELLS, "u1"))[0], n, t, buckets)(batches)
 
     sent = todo.select("text").mapInArrow(released(second), "bucket int, nodes int, entries int, blob binary").repartitionById(buckets, "bucket")
-    candidates = cut(sent.mapInArrow(released(_pairs(t, buckets, kin)), "a long, b long").distinct(), "candidates")
+    met = sent.mapInArrow(released(_pairs(t, buckets, kin)), "a long, b long, times byte")
+    candidates = cut(met.groupBy("a", "b").agg(F.sum("times").alias("times")).filter("times > 1").select("a", "b"), "candidates")
     order.unpersist()
     if kin:
         kin.unpersist()

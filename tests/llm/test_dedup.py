@@ -216,7 +216,7 @@ def test_a_bucket_and_a_cell_hold_few_pairs(monkeypatch):
     blobs = [tuple(b.column(i)[0].as_py() for i in (1, 2, 3)) for b in op2._second_pass(np.zeros(op2.CELLS, np.uint8), 1, 0.55, 1)(iter([text]))]
     parts = list(op2._bucket_parts(list(blobs), 0.55, 0, 1))
     assert len(parts) > 1
-    assert len(np.unique(np.concatenate([np.stack(p, 1) for p in parts]), axis=0)) == len(real) * (len(real) - 1) // 2
+    assert len(np.unique(np.concatenate([np.stack(p[:2], 1) for p in parts]), axis=0)) == len(real) * (len(real) - 1) // 2
     nodes = np.sort(np.array([op2.digest(s) for s in real]))
     assert not len(next(iter(op2._bucket_parts(list(blobs), 0.55, 0, 1, (nodes, np.ones(len(nodes), np.int64)))))[0])
     monkeypatch.setattr(op2, "_KEEP", 10)
@@ -226,6 +226,25 @@ def test_a_bucket_and_a_cell_hold_few_pairs(monkeypatch):
     assert len(out) == 4 and sum(b.num_rows for b in out) == 36
 
 
+def test_pairs_that_share_one_gram_are_few_candidates(spark, monkeypatch):
+    """40 texts of 39 words, each of which a text shares with one other text alone, make few candidates; short texts keep what one gram decides."""
+    sizes = {}
+    write = op2.cut
+
+    def counted(df, name):  # noqa: ANN001, ANN202
+        out = write(df, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(op2, "cut", counted)
+    rows = [(k, " ".join(f"e{min(k, j)}with{max(k, j)}" for j in range(40) if j != k), "s") for k in range(40)]
+    assert found_classes(table(spark, rows), 1) == brute_classes(rows, 1)
+    assert sizes["candidates"] < 60  # of some 240 that meet: a shared mark needs no second gram
+    rows = [(k, " ".join(f"b{(k * 7 + j) % 9}" for j in range(1 + k % 4)), "s") for k in range(60)] + [(100 + k, f"c{k} d e", "s") for k in range(3)]
+    for t in (0.3, 0.55):
+        assert found_classes(table(spark, rows), 2, t) == brute_classes(rows, 2, t)
+
+
 def test_overlaps_and_forests():
     rnd = np.random.default_rng(2)
     x, y = ([np.unique(rnd.integers(0, top, 30).astype(np.uint64)) for top in [60] * 40 + [1 << 20] * 5] for _ in range(2))
