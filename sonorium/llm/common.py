@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .textops import forget_powers
+
 #: Most bytes of a key table that may be broadcast, reckoned from its row count and width; a larger one is shuffle-joined.
 BROADCAST_BYTES = 32 << 20
 #: Bytes that a broadcast row takes beside its values, and what a text or a list in it is taken for.
@@ -91,6 +93,7 @@ def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(trimmed(batches))
+        forget_powers()
         _give_back()
 
     return task

@@ -47,10 +47,19 @@ class _Powers:
             self.up, self.down = (np.multiply.accumulate(np.concatenate([[U64(1)], np.full(n - 1, b, U64)])) for b in (self.base, self.inverse))
         return self.up, self.down
 
+    def forget(self) -> None:
+        self.up = self.down = np.empty(0, U64)
+
 
 _BYTES, _WORDS = _Powers(_P), _Powers(_Q)
 
 
+def forget_powers() -> None:
+    """Give back what the hashes keep between calls; it is made again on demand."""
+    _BYTES.forget()
+    _WORDS.forget()
+
+
 def chunks(batch: pa.RecordBatch, column: str, size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of batch holding about size bytes of column each, whole rows always."""
     n = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
