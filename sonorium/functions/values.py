@@ -26,8 +26,20 @@ def rate_text(speed: Column) -> Column:
     return out.otherwise(F.format_string("%.1fGB/s", x / 1024.0**3))
 
 
+def rounded(x: Column, places: int) -> Column:
+    """x to so many decimals, as databases round doubles: x * 10^places to whole numbers, halves away from zero.
+
+    What rounds to nothing keeps its sign (-0.0); what can't be scaled stays as it is.
+    """
+    x, unit = x.cast("double"), 10.0**places
+    scaled = F.abs(x) * unit
+    near = F.rint(scaled)  # halves to even here; those that went down go up again
+    found = F.signum(x) * (near + F.when(scaled - near == 0.5, 1.0).otherwise(0.0)) / unit
+    return F.when(F.isnan(found) | (F.abs(found) == float("inf")), x).otherwise(found)
+
+
 def gigabytes(n: Column) -> Column:
-    return F.round(n.cast("double") / 1024.0**3, 2)
+    return rounded(n.cast("double") / 1024.0**3, 2)
 
 
 def half_even(x: Column) -> Column:

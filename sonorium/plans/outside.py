@@ -440,7 +440,7 @@ def channel_downmix(spark: SparkSession, d: str) -> DataFrame:
     """Two channels, the second three times as loud, brought to one and cut to half a second at 8 samples a second."""
     one = F.col("embedding").cast("array<double>")
     mixed = values.head_seconds(values.downmix(F.array(one, F.transform(one, lambda x: x * 3.0))), 8, 0.5)
-    return table(spark, d, "embeddings").select("vec_id", F.round(F.aggregate(mixed, F.lit(0.0), lambda a, x: a + x), 6).alias("total"), F.size(mixed).alias("n"))
+    return table(spark, d, "embeddings").select("vec_id", values.rounded(F.aggregate(mixed, F.lit(0.0), lambda a, x: a + x), 6).alias("total"), F.size(mixed).alias("n"))
 
 
 @query("SELECT doc_id, replace(replace(replace(t, chr(13) || chr(10), chr(92) || 'n'), chr(10), chr(92) || 'n'), chr(13), chr(92) || 'n') AS line FROM (SELECT doc_id, replace(text, ' the ', chr(13) || chr(10)) AS t FROM documents)")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.texts import json_payload, numbered
-from ..functions.values import size_text
+from ..functions.values import rounded, size_text
 from ..operators.packing import pack
 from .registry import query, table
 
@@ -64,7 +64,7 @@ def json_payloads(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT source, count(*) AS files, sum(n_chars)::BIGINT AS bytes, round(sum(n_chars) / 1073741824.0, 2) AS gb FROM documents GROUP BY source")
 def source_bytes(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").groupBy("source").agg(F.count("*").alias("files"), F.sum("n_chars").alias("bytes")).withColumn("gb", F.round(F.col("bytes") / 1073741824.0, 2))
+    return table(spark, d, "documents").groupBy("source").agg(F.count("*").alias("files"), F.sum("n_chars").alias("bytes")).withColumn("gb", rounded(F.col("bytes") / 1073741824.0, 2))
 
 
 _UNIT = " ".join(f"WHEN x < {1024.0 ** (k + 1)} THEN printf('%.2f {u}', x / {1024.0 ** k})" for k, u in enumerate(("KB", "MB", "GB"), 1))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.values import mono, segment_length
+from ..functions.values import mono, rounded, segment_length
 from ..operators import intervals as iv
 from .registry import query, table
 
@@ -31,7 +31,7 @@ SELECT user_id, round(min(s), 6) AS start, round(max(e), 6) AS end, count(*) AS
 )
 def gap_merge_events(spark: SparkSession, d: str) -> DataFrame:
     m = iv.gap_merge(_seconds(spark, d), ["user_id"], GAP)
-    return m.select("user_id", F.round("start", 6).alias("start"), F.round("end", 6).alias("end"), "n")
+    return m.select("user_id", rounded(F.col("start"), 6).alias("start"), rounded(F.col("end"), 6).alias("end"), "n")
 
 
 @query(f"SELECT doc_id, i * {PIECE} AS start, least((i + 1) * {PIECE}, n_chars)::DOUBLE AS end FROM documents, unnest(range(0, ceil(n_chars / {PIECE})::BIGINT)) u(i)")
@@ -65,7 +65,7 @@ def fallback_windows(spark: SparkSession, d: str) -> DataFrame:
 @query(f"SELECT event_type, count(*) AS n, round(avg(greatest(e - s, 0)), 6) AS mean, round(median(greatest(e - s, 0)), 6) AS median FROM ({_EVENTS}) GROUP BY 1")
 def segment_stats(spark: SparkSession, d: str) -> DataFrame:
     stats = iv.length_stats(_seconds(spark, d), ["event_type"], segment_length(F.col("start"), F.col("end")))
-    return stats.select("event_type", "n", F.round("mean", 6).alias("mean"), F.round("median", 6).alias("median"))
+    return stats.select("event_type", "n", rounded(F.col("mean"), 6).alias("mean"), rounded(F.col("median"), 6).alias("median"))
 
 
 @query(
@@ -77,7 +77,7 @@ FROM lineitem
 )
 def duration_series(spark: SparkSession, d: str) -> DataFrame:
     s = iv.length_series(table(spark, d, "lineitem"), ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"], F.col("l_quantity"))
-    return s.withColumn("idx", F.col("idx").cast("bigint")).withColumn("mean", F.round("mean", 6))
+    return s.withColumn("idx", F.col("idx").cast("bigint")).withColumn("mean", rounded(F.col("mean"), 6))
 
 
 @query("SELECT event_id, user_id, count(*) OVER (PARTITION BY user_id ORDER BY epoch_us(ts) RANGE BETWEEN 59999999 PRECEDING AND CURRENT ROW) AS in_window FROM events")
@@ -89,7 +89,7 @@ def rate_window_audit(spark: SparkSession, d: str) -> DataFrame:
 def mono_downmix(spark: SparkSession, d: str) -> DataFrame:
     e, half = F.col("embedding"), F.expr("size(embedding) div 2")
     both = mono(F.slice(e, F.lit(1), half), F.slice(e, half + 1, half))
-    return table(spark, d, "embeddings").select("vec_id", F.transform(both, lambda x: F.round(x, 6)).alias("mono"))
+    return table(spark, d, "embeddings").select("vec_id", F.transform(both, lambda x: rounded(x, 6)).alias("mono"))
 
 
 @query(
@@ -104,4 +104,4 @@ SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY a) AS idx, roun
 )
 def speech_segments(spark: SparkSession, d: str) -> DataFrame:
     s = iv.speech_segments(_seconds(spark, d).select("user_id", "start", "end"), ["user_id"], 450, 64.0)
-    return s.select("user_id", F.col("idx").cast("bigint").alias("idx"), F.round("start", 6).alias("start"), F.round("end", 6).alias("end"))
+    return s.select("user_id", F.col("idx").cast("bigint").alias("idx"), rounded(F.col("start"), 6).alias("start"), rounded(F.col("end"), 6).alias("end"))

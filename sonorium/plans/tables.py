@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.durations import hms, year_of
 from ..functions.status import probe_error
 from ..functions.texts import basename, parent, stem
-from ..functions.values import percent_off
+from ..functions.values import percent_off, rounded
 from ..operators import catalog as cat
 from ..operators import integrity, metadata, playlist, publish, subtitle
 from ..schemas import ENTRY
@@ -149,7 +149,7 @@ c AS (SELECT *, CASE WHEN NOT ok THEN 'corrupted' WHEN expected IS NOT NULL THEN
 
 @query(_CHECKED + "SELECT path, status, expected::BIGINT AS expected, CASE status WHEN 'truncated' THEN round(abs(actual - expected), 6) END AS duration_diff, CASE status WHEN 'truncated' THEN round(abs(actual - expected) / expected * 100, 6) END AS percent_off FROM c")
 def integrity_status(spark: SparkSession, d: str) -> DataFrame:
-    return _checked(spark, d).select("path", "status", "expected", F.round("duration_diff", 6).alias("duration_diff"), F.round("percent_off", 6).alias("percent_off"))
+    return _checked(spark, d).select("path", "status", "expected", rounded(F.col("duration_diff"), 6).alias("duration_diff"), rounded(F.col("percent_off"), 6).alias("percent_off"))
 
 
 @query(
@@ -158,7 +158,7 @@ def integrity_status(spark: SparkSession, d: str) -> DataFrame:
 )
 def integrity_summary(spark: SparkSession, d: str) -> DataFrame:
     s = integrity.summary(_checked(spark, d))
-    return s.withColumn("valid_seconds", F.round("valid_seconds", 6)).withColumn("mean_seconds", F.round("mean_seconds", 6))
+    return s.withColumn("valid_seconds", rounded(F.col("valid_seconds"), 6)).withColumn("mean_seconds", rounded(F.col("mean_seconds"), 6))
 
 
 @query(_CHECKED + "SELECT p_partkey::VARCHAR AS id FROM c WHERE status <> 'valid' UNION SELECT ps FROM (SELECT s_suppkey::VARCHAR AS ps FROM supplier)")
@@ -325,7 +325,7 @@ def years_grouped(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT s_suppkey, round(abs(s_acctbal - n * 100) / (n * 100) * 100, 6) AS percent FROM supplier JOIN (SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_suppkey = s_suppkey")
 def percent_differences(spark: SparkSession, d: str) -> DataFrame:
     n = table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("s_suppkey")).agg((F.count("*") * 100).alias("expected"))
-    return table(spark, d, "supplier").join(n, "s_suppkey").select("s_suppkey", F.round(percent_off(F.col("s_acctbal"), F.col("expected")), 6).alias("percent"))
+    return table(spark, d, "supplier").join(n, "s_suppkey").select("s_suppkey", rounded(percent_off(F.col("s_acctbal"), F.col("expected")), 6).alias("percent"))
 
 
 # --- playlists

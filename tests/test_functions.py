@@ -121,3 +121,27 @@ def test_downmix(spark):
     assert list(got) == [[2.0, 4.0], [2.0, 4.0], [1.0]]
 
 
+
+
+def test_rounded_as_sql_does(spark):
+    """Bit for bit: what rounds to nothing keeps its sign, halves arise where the product with 10^6 is rounded."""
+    import struct
+
+    import duckdb
+
+    xs = [-1e-7, 1e-7, -0.0, 0.0, 5e-7, -5e-7, 1.0000005, -2.5000005, 0.0078125, 1704067200.1234564, 1704067200.1234567, 1e300, float("inf"), float("nan"), None, 1e15 + 0.3]
+    xs += [1704067200 + i / 2**22 for i in range(200)] + [(-1) ** i * (i + 0.5) / 1e6 for i in range(200)]
+    want = [duckdb.execute("SELECT round(?::DOUBLE, 6)", [x]).fetchone()[0] for x in xs]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in xs], "x double").coalesce(1).select(values.rounded(F.col("x"), 6)).collect()]
+    bits = lambda v: [x if x is None or x != x else struct.pack("d", x) for x in v]
+    assert list(map(repr, bits(got))) == list(map(repr, bits(want)))
+
+
+def test_mono_downmix_keeps_the_sign_of_zero(spark, tmp_path):
+    import math
+
+    from sonorium.plans.spans import mono_downmix
+
+    spark.createDataFrame([(1, [-1e-7, 0.5, -1e-7, 0.25])], "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = mono_downmix(spark, str(tmp_path)).first()["mono"]
+    assert got == [0.0, 0.375] and math.copysign(1, got[0]) == -1
