@@ -21,7 +21,7 @@ from ..functions import texts, values
 from ..operators import catalog as cat
 from ..operators import packing, publish, subtitle
 from ..schemas import MANIFEST
-from ..shared import shared_dir
+from ..shared import shared_dir, spread, written
 from ..sources import csvs, media, tars, vtts
 from ..streaming import progress
 from .registry import query, table
@@ -45,7 +45,7 @@ def _files(rows: DataFrame, root: str) -> DataFrame:
                     out.write(b"x" * int(n))
             yield pd.DataFrame({"path": paths, "bytes": f["bytes"]})
 
-    return rows.select("name", "bytes").mapInPandas(run, "path string, bytes long")
+    return spread(rows.select("name", "bytes")).mapInPandas(run, "path string, bytes long")
 
 
 def _waves(rows: DataFrame, root: str, rate: int = 16_000, channels: int = 2) -> DataFrame:
@@ -311,7 +311,7 @@ def downloads(spark: SparkSession, d: str) -> DataFrame:
                 f.write(b"x" * rate)
             return True
 
-    got = mediasvc.download(rows, Service(), root)
+    got = written(mediasvc.download(rows, Service(), root), "downloaded")  # once: asked again, all would be there
     return got.select("id", "downloaded", "reused", F.element_at(F.split("path", r"\."), -1).alias("extension"))
 
 

@@ -20,6 +20,16 @@ def shared_dir(spark: SparkSession) -> str:
     return shared_dir.local
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """df over as many tasks as shuffles have, or as there are cores: what is done for a row weighs more than the row.
+
+    Rows of equal keys share a task. Sizes can't say this, for a row that names a file is small.
+    """
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(n, *keys)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df, computed once: written and read back, so that all that is made of it sees the same rows in the same places."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"

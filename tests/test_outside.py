@@ -200,3 +200,26 @@ def test_recognition_keeps_its_order_in_threads():
     import time
 
     assert retry.recognise_all(range(20), lambda i: (time.sleep(0.001 * (20 - i)), str(i))[1], threads=8) == [str(i) for i in range(20)]
+
+
+def test_downloads_look_at_their_own_file_only(spark, tmp_path):
+    from sonorium.adapters import media as svc
+    from sonorium.plans.outside import downloads
+
+    class Service:
+        def download(self, url, target, rate):  # noqa: ANN001, ANN201
+            with open(target if url != "b" else target + ".part", "wb") as f:
+                f.write(b"x" * len(os.listdir(os.path.dirname(target))))
+            if url == "b":
+                raise OSError("broken off")
+            return True
+
+    rows = spark.createDataFrame([(f"k{i}", "b" if i == 3 else "a") for i in range(20)], "id string, url string").coalesce(1)
+    got = svc.download(rows, Service(), str(tmp_path / "d"))
+    assert got.rdd.getNumPartitions() >= 4
+    assert {r["id"] for r in got.collect() if not r["downloaded"]} == {"k3"}
+    left = os.listdir(tmp_path / "d")
+    assert sorted(left) == sorted(f"k{i}.opus" for i in range(20) if i != 3)  # nothing aside stays
+    assert {os.path.getsize(tmp_path / "d" / n) for n in left} == {1}  # no file had others beside it
+    once = downloads(spark, "/root/testdata/sf0.001")
+    assert sorted(once.collect(), key=str) == sorted(once.collect(), key=str)
