@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..schemas import MANIFEST, PROBE, texts
+from ..shared import spread
 from .retry import Limiter, extract, recognise, recognise_all, share
 
 
@@ -168,7 +169,7 @@ def probe(paths: DataFrame, prober: Probe) -> DataFrame:
             found = [(p, *prober.duration(p)) for p in f["path"]]
             yield pd.DataFrame(found, columns=["path", "ok", "duration", "error"])
 
-    return paths.select("path").mapInPandas(run, PROBE)
+    return spread(paths.select("path"), "path").mapInPandas(run, PROBE)
 
 
 def transcribe(segments: DataFrame, keys: list[str], client: Callable[..., tuple[int, str]], max_rpm: int = 60, tasks: int = 1, retries: int = 3, base: float = 0.8, rounds: int = 3, threads: int = 4, sleep: Callable[[float], None] | None = None, **options: object) -> DataFrame:
@@ -205,7 +206,7 @@ def voice_activity(files: DataFrame, detector: Callable[[str], list[tuple[float,
                     continue
             yield pd.DataFrame(out, columns=["file", "start", "end"])
 
-    return files.select("path").mapInPandas(run, "file string, start double, end double")
+    return spread(files.select("path"), "path").mapInPandas(run, "file string, start double, end double")
 
 
 def execute(plan: DataFrame, act: Callable[[dict], None], dry_run: bool = True) -> tuple[int, int]:
@@ -226,7 +227,7 @@ def execute(plan: DataFrame, act: Callable[[dict], None], dry_run: bool = True)
                     failed += 1
             yield pd.DataFrame({"done": [done], "failed": [failed]})
 
-    found = plan.mapInPandas(run, "done long, failed long").agg(F.coalesce(F.sum("done"), F.lit(0)), F.coalesce(F.sum("failed"), F.lit(0))).first()
+    found = spread(plan).mapInPandas(run, "done long, failed long").agg(F.coalesce(F.sum("done"), F.lit(0)), F.coalesce(F.sum("failed"), F.lit(0))).first()
     return found[0], found[1]
 
 

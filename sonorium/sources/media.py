@@ -9,15 +9,21 @@ from pyspark.sql.types import StructType
 
 from ..functions.texts import stem
 from ..schemas import FILES, texts
+from . import listing
 
 EXTENSIONS = ("mp3", "wav", "opus", "m4a", "mp4", "webm", "flv", "mkv")
 
 
 def files(spark: SparkSession, root: str, glob: str = "*.opus", recursive: bool = True) -> DataFrame:
-    """(path, modificationTime, length, id) of the files below root, or in it; id is the stem. Contents aren't
-    read. Spark's file sources pass over empty files, and so does this."""
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", str(recursive).lower())
-    found = reader.load(root).select(F.regexp_replace("path", "^file:/*", "/").alias("path"), "modificationTime", "length")
+    """(path, modificationTime, length, id) of the files below root, or in it, as they are now; id is the stem. Contents
+    aren't read. Spark's file sources pass over empty files, and so does this. Executors list a mounted folder; for
+    other file systems and patterns, Spark lists on the driver."""
+    at = None if set("{}\\") & set(glob) else listing.mounted(root)
+    if at is not None:
+        found = listing.stats(spark, at, glob, recursive)
+    else:
+        reader = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", str(recursive).lower())
+        found = reader.load(root).select(F.regexp_replace("path", "^file:/*", "/").alias("path"), "modificationTime", "length")
     return found.withColumn("id", stem(F.col("path")))
 
 

@@ -223,3 +223,26 @@ def test_downloads_look_at_their_own_file_only(spark, tmp_path):
     assert {os.path.getsize(tmp_path / "d" / n) for n in left} == {1}  # no file had others beside it
     once = downloads(spark, "/root/testdata/sf0.001")
     assert sorted(once.collect(), key=str) == sorted(once.collect(), key=str)
+
+
+def test_listing_and_reading_do_not_grow_tasks_with_files(spark, tmp_path):
+    names = [*(f"f{i}" for i in range(300)), "_id", "a b", "粵語"]
+    df = spark.createDataFrame([(n, "WEBVTT\n\n1\n00:00:00.000 --> 00:00:01.000\nhé\n\n") for n in names], "file string, vtt string")
+    written = vtts.write_documents(df.coalesce(1), str(tmp_path / "v"))
+    assert written.rdd.getNumPartitions() >= 4 and written.count() == 303
+    (tmp_path / "v/empty.vtt").write_text("")
+    (tmp_path / "v/.hidden.vtt").write_text("x")
+    (tmp_path / "v/in").mkdir()
+    (tmp_path / "v/in/deep.vtt").write_text("x" * 7)
+    docs = vtts.read_documents(spark, f"file://{tmp_path}/v")
+    assert docs.rdd.getNumPartitions() <= 4
+    assert {r["file"] for r in docs.collect()} == set(names)
+    assert vtts.read_cues(spark, str(tmp_path / "v")).count() == 303
+    assert [r["file"] for r in vtts.read_documents(spark, str(tmp_path / "v/f1?.vtt")).orderBy("file").collect()] == [f"f1{i}" for i in range(10)]
+    listed = media.files(spark, str(tmp_path / "v"), "*.vtt")
+    assert listed.rdd.getNumPartitions() <= 4
+    os.remove(tmp_path / "v/f0.vtt")  # a listing is of its time
+    found = {r["id"]: r for r in listed.collect()}
+    assert set(found) == {*names, "deep"} and found["deep"]["length"] == 7 and found["deep"]["path"] == f"{tmp_path}/v/in/deep.vtt"
+    assert abs(found["deep"]["modificationTime"].timestamp() - os.path.getmtime(tmp_path / "v/in/deep.vtt")) < 0.01
+    assert {r["id"] for r in media.files(spark, str(tmp_path / "v"), "f{1,2}.vtt").collect()} == {"f1", "f2"}
