@@ -12,12 +12,14 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import Protocol
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
 from ..shared import spread
 
 RATE, FALLBACK_BITRATE = 16_000, "96k"
+HELD = 8 << 20  # bytes of samples read at once
 
 
 class Downloader(Protocol):
@@ -86,7 +88,7 @@ def extract(files: DataFrame, codec: Codec, folder: str, rate: int = RATE) -> Da
                 out.append(target)
             yield pd.DataFrame({"path": f["path"], "wav": out})
 
-    return files.select("path").mapInPandas(run, "path string, wav string")
+    return spread(files.select("path"), "path").mapInPandas(run, "path string, wav string")
 
 
 def cut_clips(plan: DataFrame, codec: Codec, folder: str, overwrite: bool = False) -> DataFrame:
@@ -114,7 +116,7 @@ def cut_clips(plan: DataFrame, codec: Codec, folder: str, overwrite: bool = Fals
         for f in frames:
             yield pd.DataFrame({"clip_name": f["clip_name"], "made": [one(*x) for x in zip(f["path"], f["clip_name"], f["start"], f["duration"])]})
 
-    return plan.select("path", "clip_name", "start", "duration").mapInPandas(run, "clip_name string, made string")
+    return spread(plan.select("path", "clip_name", "start", "duration"), "clip_name").mapInPandas(run, "clip_name string, made string")
 
 
 @dataclass
@@ -126,10 +128,10 @@ class WaveCodec:
     def extract(self, source: str, target: str, rate: int) -> None:
         with wave.open(source) as a, wave.open(target, "wb") as b:
             width, channels, step = a.getsampwidth(), a.getnchannels(), max(1, a.getframerate() // rate)
-            frame = width * channels
-            data = a.readframes(a.getnframes())
             b.setparams((1, width, rate, 0, "NONE", ""))
-            b.writeframes(b"".join(data[i : i + width] for i in range(0, len(data), frame * step)))
+            held = max(1, HELD // (width * channels * step)) * step  # whole steps, so that each piece begins with a kept frame
+            while data := a.readframes(held):
+                b.writeframes(np.frombuffer(data, f"V{width}", len(data) // width)[:: channels * step].tobytes())
 
     def cut(self, source: str, target: str, start: float, duration: float, codec: str) -> bool:
         if codec == "copy" and not self.copies(source):

@@ -246,3 +246,34 @@ def test_listing_and_reading_do_not_grow_tasks_with_files(spark, tmp_path):
     assert set(found) == {*names, "deep"} and found["deep"]["length"] == 7 and found["deep"]["path"] == f"{tmp_path}/v/in/deep.vtt"
     assert abs(found["deep"]["modificationTime"].timestamp() - os.path.getmtime(tmp_path / "v/in/deep.vtt")) < 0.01
     assert {r["id"] for r in media.files(spark, str(tmp_path / "v"), "f{1,2}.vtt").collect()} == {"f1", "f2"}
+
+
+def test_cutting_is_spread_and_in_pieces(spark, tmp_path, monkeypatch):
+    import random
+    import wave
+
+    from sonorium.adapters import media as svc
+    from sonorium.plans import outside
+
+    waves = outside._waves(spark.createDataFrame([(f"s{i}.wav", 48_000) for i in range(8)], "name string, frames long").coalesce(1), str(tmp_path / "w"), 48_000)
+    assert waves.rdd.getNumPartitions() >= 4 and waves.count() == 8
+    with wave.open(str(tmp_path / "plain.wav"), "wb") as w:
+        w.setparams((2, 2, 48_000, 0, "NONE", ""))
+        w.writeframes(b"\0" * (4 * 48_000))
+    assert (tmp_path / "w/s3.wav").read_bytes() == (tmp_path / "plain.wav").read_bytes()
+    mono = svc.extract(waves.select("path").coalesce(1), svc.WaveCodec(), str(tmp_path / "m"))
+    clips = svc.cut_clips(mono.selectExpr("wav AS path", "'c' AS clip_name", "0.0D AS start", "0.25D AS duration").coalesce(1), svc.WaveCodec(), str(tmp_path / "c"))
+    assert mono.rdd.getNumPartitions() >= 4 and clips.rdd.getNumPartitions() >= 4
+    plan = outside.cut_and_extract(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan and "LocalTableScan" not in plan  # what was made isn't gathered on the driver
+
+    monkeypatch.setattr(svc, "HELD", 100)
+    for channels, width, rate in ((1, 1, 16_000), (2, 2, 48_000), (3, 3, 44_100)):
+        data = random.Random(rate).randbytes(1003 * channels * width)
+        with wave.open(str(tmp_path / "x.wav"), "wb") as w:
+            w.setparams((channels, width, rate, 0, "NONE", ""))
+            w.writeframes(data)
+        svc.WaveCodec().extract(str(tmp_path / "x.wav"), str(tmp_path / "y.wav"), 16_000)
+        with wave.open(str(tmp_path / "y.wav")) as w:
+            assert (w.getnchannels(), w.getframerate()) == (1, 16_000)
+            assert w.readframes(5000) == b"".join(data[i : i + width] for i in range(0, len(data), channels * width * max(1, rate // 16_000)))
