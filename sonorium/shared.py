@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -23,11 +24,12 @@ def shared_dir(spark: SparkSession) -> str:
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """df over as many tasks as shuffles have, or as there are cores: what is done for a row weighs more than the row.
 
-    Rows of equal keys share a task. Sizes can't say this, for a row that names a file is small.
+    Rows of equal keys share a task. Sizes can't say this, for a row that names a file is small. The keys are hashed
+    first: a grouping by the keys themselves would stand in for this, and its tasks are merged by size.
     """
     spark = df.sparkSession
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return df.repartition(n, *keys)
+    return df.repartition(n, F.xxhash64(*keys)) if keys else df.repartition(n)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -277,3 +277,10 @@ def test_cutting_is_spread_and_in_pieces(spark, tmp_path, monkeypatch):
         with wave.open(str(tmp_path / "y.wav")) as w:
             assert (w.getnchannels(), w.getframerate()) == (1, 16_000)
             assert w.readframes(5000) == b"".join(data[i : i + width] for i in range(0, len(data), channels * width * max(1, rate // 16_000)))
+
+
+def test_writing_stays_spread_behind_a_grouping(spark, tmp_path):
+    from sonorium.operators import subtitle
+
+    cues = spark.createDataFrame([(f"f{i}", 1, 0.0, 1.0, "x") for i in range(40)], "file string, idx int, start double, end double, text string")
+    assert vtts.write_documents(subtitle.render(cues, "file"), str(tmp_path / "v")).rdd.getNumPartitions() >= 4
